@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import STATISTICS, Layout
 from millrace.operators.wide import wide_records
 from millrace.operators.windows import one_statistic, window_statistics
+from millrace.sinks.fanout import fan_out
 from millrace.sources.backfill import pending_rows
 from millrace.streaming.gold import recompute_batch, with_window_bucket
 from millrace.streaming.silver import readings_of, store_batch
@@ -40,12 +41,12 @@ def rebuild(spark: SparkSession, layout: Layout) -> None:
     layout.readings.overwrite(readings.withColumn("bid", F.lit(REBUILD)))
     stored = layout.readings.read(spark)
     layout.silver.overwrite(wide_records(stored, layout.catalog, ("event_bucket",)))
-    stats = with_window_bucket(gold_of(layout.silver.read(spark), layout), layout).persist()
-    try:
-        for statistic in STATISTICS:
-            layout.gold(statistic).overwrite(one_statistic(stats, statistic))
-    finally:
-        stats.unpersist()
+
+    def write(statistic: str):
+        return lambda stats: layout.gold(statistic).overwrite(one_statistic(stats, statistic))
+
+    stats = gold_of(layout.silver.read(spark), layout)
+    fan_out(with_window_bucket(stats, layout), [write(s) for s in STATISTICS])
 
 
 def backfill(spark: SparkSession, layout: Layout, folder: str, load: int, by: str = "path") -> None:

@@ -33,9 +33,8 @@ def upsert(dataset: Dataset, source: DataFrame, keys: list[str]) -> None:
     Creates the dataset from the first source. Writing the same source twice changes nothing.
     """
     spark = source.sparkSession
-    if not dataset.exists(spark):
-        dataset.overwrite_partitions(source)
-        return
     touched = Partitions.of(source, dataset.partition_by[0])
-    target = dataset.read_partitions(spark, touched)
-    dataset.overwrite_partitions(merged(target, source.select(target.columns), keys))
+    if dataset.exists(spark):
+        target = dataset.read_partitions(spark, touched)
+        source = merged(target, source.select(target.columns), keys)
+    dataset.overwrite_partitions(source, touched)

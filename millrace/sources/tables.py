@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,13 @@ from pyspark.sql import types as T
 # Up to this many partitions are named in the plan; more are matched with a semi join.
 MAX_NAMED_PARTITIONS = 1_000
 
+# Rows for at most this many partitions are written as they lie; for more, a shuffle brings the rows
+# of a partition together first, or every task would write a small file into every partition.
+FEW_PARTITIONS = 4
+
 DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
+# Held while the mode is changed in the session for a table.
+_MODE_LOCK = Lock()
 
 
 def is_missing(error: AnalysisException) -> bool:
@@ -109,9 +116,13 @@ class Dataset:
         else:
             writer.format("parquet").saveAsTable(self.location)
 
-    def overwrite_partitions(self, frame: DataFrame) -> None:
-        """Replace exactly the partitions that ``frame`` has rows for; create if missing."""
-        frame = self._clustered(frame)
+    def overwrite_partitions(self, frame: DataFrame, touched: Partitions | None = None) -> None:
+        """Replace exactly the partitions that ``frame`` has rows for; create if missing.
+
+        ``touched`` tells which partitions these are, if the caller knows.
+        """
+        few = touched is not None and touched.values is not None and len(touched.values) <= FEW_PARTITIONS
+        frame = self._fitted(frame) if few else self._clustered(frame)
         if self.is_path:
             (
                 frame.write.mode("overwrite")
@@ -121,15 +132,16 @@ class Dataset:
             )
             return
         spark = frame.sparkSession
-        if not self.exists(spark):
-            self._create(spark)
-        # For tables the mode is taken from the session only.
-        before = spark.conf.get(DYNAMIC)
-        spark.conf.set(DYNAMIC, "dynamic")
-        try:
-            frame.write.mode("overwrite").insertInto(self.location)
-        finally:
-            spark.conf.set(DYNAMIC, before)
+        with _MODE_LOCK:
+            if not self.exists(spark):
+                self._create(spark)
+            # For tables the mode is taken from the session only.
+            before = spark.conf.get(DYNAMIC)
+            spark.conf.set(DYNAMIC, "dynamic")
+            try:
+                frame.write.mode("overwrite").insertInto(self.location)
+            finally:
+                spark.conf.set(DYNAMIC, before)
 
     def _create(self, spark: SparkSession) -> None:
         writer = self.empty(spark).write.format("parquet").partitionBy(*self.partition_by)

@@ -23,6 +23,7 @@ from millrace.operators.windows import (
     window_partials,
     window_statistics,
 )
+from millrace.sinks.fanout import fan_out
 from millrace.sinks.upsert import upsert
 from millrace.sources.tables import Partitions
 from millrace.streaming.bronze import DRAIN
@@ -34,24 +35,24 @@ def with_window_bucket(stats: DataFrame, layout: Layout) -> DataFrame:
     return stats.withColumn("window_bucket", bucket_of_instant(F.col("window_start"), layout.grain))
 
 
-def replace_windows(layout: Layout, stats: DataFrame) -> None:
+def replace_windows(layout: Layout, stats: DataFrame, touched: Partitions | None = None) -> None:
     """Write whole window partitions, one table per statistic, from one computation."""
-    stats = with_window_bucket(stats, layout).persist()
-    try:
-        for statistic in STATISTICS:
-            layout.gold(statistic).overwrite_partitions(one_statistic(stats, statistic))
-    finally:
-        stats.unpersist()
+
+    def write(statistic: str):
+        gold = layout.gold(statistic)
+        return lambda stats: gold.overwrite_partitions(one_statistic(stats, statistic), touched)
+
+    fan_out(with_window_bucket(stats, layout), [write(s) for s in STATISTICS])
 
 
 def upsert_windows(layout: Layout, stats: DataFrame) -> None:
     """Insert or replace single windows, one table per statistic, from one computation."""
-    stats = with_window_bucket(stats, layout).persist()
-    try:
-        for statistic in STATISTICS:
-            upsert(layout.gold(statistic), one_statistic(stats, statistic), WINDOW_KEY)
-    finally:
-        stats.unpersist()
+
+    def write(statistic: str):
+        gold = layout.gold(statistic)
+        return lambda stats: upsert(gold, one_statistic(stats, statistic), WINDOW_KEY)
+
+    fan_out(with_window_bucket(stats, layout), [write(s) for s in STATISTICS])
 
 
 def recompute_batch(layout: Layout, changes: DataFrame, batch_id: int) -> None:
@@ -65,7 +66,7 @@ def recompute_batch(layout: Layout, changes: DataFrame, batch_id: int) -> None:
     spark = changes.sparkSession
     touched = Partitions.of(changes, "event_bucket")
     silver = layout.silver.read_partitions(spark, touched)
-    replace_windows(layout, window_statistics(silver, layout.window, layout.numeric))
+    replace_windows(layout, window_statistics(silver, layout.window, layout.numeric), touched)
 
 
 def start_gold(
@@ -89,10 +90,10 @@ def partials_batch(layout: Layout, readings: DataFrame, batch_id: int) -> None:
     partials = with_window_bucket(window_partials(wide, layout.window, layout.numeric), layout)
     partials = partials.withColumn("bid", F.lit(batch_id).cast("bigint")).persist()
     try:
-        layout.partials.overwrite_partitions(partials)
         touched = Partitions.of(partials, "window_bucket")
+        layout.partials.overwrite_partitions(partials, touched)
         stored = layout.partials.read_partitions(spark, touched)
-        replace_windows(layout, merge_partials(stored, layout.numeric))
+        replace_windows(layout, merge_partials(stored, layout.numeric), touched)
     finally:
         partials.unpersist()
 

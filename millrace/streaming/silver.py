@@ -32,9 +32,10 @@ def store_batch(layout: Layout, readings: DataFrame, batch_id: int) -> None:
         touched = Partitions.of(batch, "event_bucket")
         if touched.values == []:
             return
-        layout.readings.overwrite_partitions(batch)
+        layout.readings.overwrite_partitions(batch, touched)
         stored = layout.readings.read_partitions(spark, touched)
-        layout.silver.overwrite_partitions(wide_records(stored, layout.catalog, ("event_bucket",)))
+        wide = wide_records(stored, layout.catalog, ("event_bucket",))
+        layout.silver.overwrite_partitions(wide, touched)
         changes = touched.frame.withColumn("bid", F.lit(batch_id).cast("bigint"))
         layout.changes.overwrite_partitions(changes)
     finally:
