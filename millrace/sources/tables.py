@@ -52,6 +52,8 @@ class Dataset:
     def read(self, spark: SparkSession) -> DataFrame:
         if self.is_path:
             return spark.read.schema(self.schema).parquet(self.location)
+        # A session keeps the file list of a table; streams write in sessions of their own.
+        spark.catalog.refreshTable(self.location)
         return spark.table(self.location)
 
     def empty(self, spark: SparkSession) -> DataFrame:
@@ -110,10 +112,10 @@ class Dataset:
     def overwrite(self, frame: DataFrame) -> None:
         """Replace the whole dataset, also the partitions that the new rows do not have."""
         writer = self._clustered(frame).write.mode("overwrite").partitionBy(*self.partition_by)
-        writer = writer.option("partitionOverwriteMode", "static")
         if self.is_path:
-            writer.parquet(self.location)
+            writer.option("partitionOverwriteMode", "static").parquet(self.location)
         else:
+            # No mode given here: a table would remember it and apply it to every later write.
             writer.format("parquet").saveAsTable(self.location)
 
     def overwrite_partitions(self, frame: DataFrame, touched: Partitions | None = None) -> None:
