@@ -89,7 +89,8 @@ class Layout:
     ``root`` is a folder on storage that every executor sees; checkpoints always live there. With
     ``database`` the layers are catalog tables of that database, otherwise Parquet folders in
     ``root``. ``grain`` is the event-time span of one storage partition: the unit that a late row
-    causes to be rebuilt. ``order_by`` names the bronze columns that say which of two readings of
+    causes to be rebuilt. ``whole_seconds`` is the compatibility form of silver: times cut to
+    seconds and one record per device and second. ``order_by`` names the bronze columns that say which of two readings of
     the same device, metric and instant came first; the position in the envelope follows them.
     """
 
@@ -101,6 +102,7 @@ class Layout:
     grain: str = "hour"
     window: str = DEFAULT_WINDOW
     watermark: str = DEFAULT_WATERMARK
+    whole_seconds: bool = False
     numeric: list[str] = field(init=False, compare=False)
 
     def __post_init__(self):
@@ -111,9 +113,15 @@ class Layout:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
-    def _dataset(self, name: str, schema: T.StructType, *partition_by: str) -> Dataset:
+    def _dataset(
+        self,
+        name: str,
+        schema: T.StructType,
+        partition_by: tuple[str, ...] = (),
+        sort_by: tuple[str, ...] = (),
+    ) -> Dataset:
         location = f"{self.database}.{name}" if self.database else f"{self.root}/{name}"
-        return Dataset(location, schema, partition_by)
+        return Dataset(location, schema, partition_by, sort_by)
 
     @property
     def bronze_schema(self) -> T.StructType:
@@ -204,27 +212,35 @@ class Layout:
     def backfill(self) -> Dataset:
         """Bronze rows loaded by batch. A stream's folder lists only the files of the stream."""
         load = T.StructField("load", T.LongType())
-        return self._dataset("bronze_backfill", T.StructType([*self.bronze_schema.fields, load]), "load")
+        schema = T.StructType([*self.bronze_schema.fields, load])
+        return self._dataset("bronze_backfill", schema, ("load",))
 
     @property
     def readings(self) -> Dataset:
-        return self._dataset("readings", self.readings_schema, "event_bucket", "bid")
+        parts, order = ("event_bucket", "bid"), ("device_id", "timestampUtc")
+        return self._dataset("readings", self.readings_schema, parts, order)
 
     @property
     def silver(self) -> Dataset:
-        return self._dataset("silver", self.silver_schema, "event_bucket")
+        order = ("device_id", "event_time")
+        return self._dataset("silver", self.silver_schema, ("event_bucket",), order)
 
     @property
     def changes(self) -> Dataset:
-        """One row per silver partition rebuilt by a batch: what the gold stream follows."""
+        """The silver partitions that a batch rebuilt: what the gold stream follows.
+
+        Plain appends: an announcement that comes twice only causes the same work twice.
+        """
         schema = T.StructType(
             [T.StructField("event_bucket", T.StringType()), T.StructField("bid", T.LongType())]
         )
-        return self._dataset("silver_changes", schema, "bid")
+        return self._dataset("silver_changes", schema)
 
     @property
     def partials(self) -> Dataset:
-        return self._dataset("window_partials", self.partials_schema, "window_bucket", "bid")
+        parts, order = ("window_bucket", "bid"), ("device_id", "window_start")
+        return self._dataset("window_partials", self.partials_schema, parts, order)
 
     def gold(self, statistic: str) -> Dataset:
-        return self._dataset(f"metrics_{statistic}", self.gold_schema(statistic), "window_bucket")
+        parts, order = ("window_bucket",), ("device_id", "window_start")
+        return self._dataset(f"metrics_{statistic}", self.gold_schema(statistic), parts, order)

@@ -6,25 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog import STATISTICS, Layout
-from millrace.operators.wide import wide_records
 from millrace.operators.windows import one_statistic, window_statistics
 from millrace.sinks.fanout import fan_out
 from millrace.sources.backfill import pending_rows
-from millrace.streaming.gold import recompute_batch, with_window_bucket
-from millrace.streaming.silver import readings_of, store_batch
+from millrace.streaming.gold import recompute_windows, with_window_bucket
+from millrace.streaming.silver import readings_of, records_of, store_batch
 
 # Batch numbers below zero belong to batch jobs; streams count from zero.
 REBUILD = -1
 
 
 def silver_of(bronze: DataFrame, layout: Layout) -> DataFrame:
-    return wide_records(readings_of(bronze, layout), layout.catalog, ("event_bucket",))
+    return records_of(readings_of(bronze, layout), layout)
 
 
 def gold_of(silver: DataFrame, layout: Layout) -> DataFrame:
     return window_statistics(silver, layout.window, layout.numeric)
 
 
+def register_views(spark: SparkSession, layout: Layout) -> list[str]:
+    """A temporary view for each layer that exists, for use from SQL."""
+    layers = {"bronze": layout.bronze, "silver": layout.silver}
+    layers.update({f"metrics_{s}": layout.gold(s) for s in STATISTICS})
+    found = [name for name, dataset in layers.items() if dataset.exists(spark)]
+    for name in found:
+        layers[name].read(spark).createOrReplaceTempView(name)
+    return found
+
+
 def all_bronze(spark: SparkSession, layout: Layout) -> DataFrame:
     """Bronze rows of the stream and of the backfills."""
     loaded = layout.backfill.read_or_empty(spark).drop("load")
@@ -40,7 +49,7 @@ def rebuild(spark: SparkSession, layout: Layout) -> None:
     readings = readings_of(all_bronze(spark, layout), layout)
     layout.readings.overwrite(readings.withColumn("bid", F.lit(REBUILD)))
     stored = layout.readings.read(spark)
-    layout.silver.overwrite(wide_records(stored, layout.catalog, ("event_bucket",)))
+    layout.silver.overwrite(records_of(stored, layout))
 
     def write(statistic: str):
         return lambda stats: layout.gold(statistic).overwrite(one_statistic(stats, statistic))
@@ -62,7 +71,5 @@ def backfill(spark: SparkSession, layout: Layout, folder: str, load: int, by: st
     rows = pending_rows(spark, folder, layout.landing_schema, held, by)
     layout.backfill.overwrite_partitions(rows.withColumn("load", F.lit(load)))
     loaded = layout.backfill.read_or_empty(spark).where(F.col("load") == load)
-    batch = REBUILD - load
-    store_batch(layout, readings_of(loaded, layout), batch)
-    changes = layout.changes.read_or_empty(spark).where(F.col("bid") == batch)
-    recompute_batch(layout, changes, batch)
+    touched = store_batch(layout, readings_of(loaded, layout), REBUILD - load)
+    recompute_windows(spark, layout, touched)

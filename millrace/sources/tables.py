@@ -33,6 +33,8 @@ class Dataset:
     location: str
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
+    # Order of the rows in a file: lets a scan for one device skip most row groups.
+    sort_by: tuple[str, ...] = ()
 
     @property
     def is_path(self) -> bool:
@@ -92,12 +94,15 @@ class Dataset:
     def _fitted(self, frame: DataFrame) -> DataFrame:
         return frame.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
 
-    def _clustered(self, frame: DataFrame) -> DataFrame:
-        """Rows of one partition together, so that it becomes a few large files.
+    def _arranged(self, frame: DataFrame, few: bool) -> DataFrame:
+        """Rows of one partition together and in order, so that it becomes a few large files.
 
         A rebalance, not a repartition: adaptive execution splits a partition too large for a task.
         """
-        return self._fitted(frame).hint("rebalance", *[F.col(c) for c in self.partition_by])
+        frame = self._fitted(frame)
+        if not few:
+            frame = frame.hint("rebalance", *[F.col(c) for c in self.partition_by])
+        return frame.sortWithinPartitions(*self.partition_by, *self.sort_by)
 
     def append_stream(self, frame: DataFrame, checkpoint: str, trigger: dict):
         writer = (
@@ -109,9 +114,16 @@ class Dataset:
         )
         return writer.start(self.location) if self.is_path else writer.toTable(self.location)
 
+    def append(self, frame: DataFrame) -> None:
+        writer = self._fitted(frame).write.mode("append")
+        if self.is_path:
+            writer.parquet(self.location)
+        else:
+            writer.format("parquet").saveAsTable(self.location)
+
     def overwrite(self, frame: DataFrame) -> None:
         """Replace the whole dataset, also the partitions that the new rows do not have."""
-        writer = self._clustered(frame).write.mode("overwrite").partitionBy(*self.partition_by)
+        writer = self._arranged(frame, few=False).write.mode("overwrite").partitionBy(*self.partition_by)
         if self.is_path:
             writer.option("partitionOverwriteMode", "static").parquet(self.location)
         else:
@@ -124,7 +136,7 @@ class Dataset:
         ``touched`` tells which partitions these are, if the caller knows.
         """
         few = touched is not None and touched.values is not None and len(touched.values) <= FEW_PARTITIONS
-        frame = self._fitted(frame) if few else self._clustered(frame)
+        frame = self._arranged(frame, few)
         if self.is_path:
             (
                 frame.write.mode("overwrite")

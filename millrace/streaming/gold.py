@@ -1,6 +1,7 @@
 """Silver to the four metric tables, in three ways.
 
-``start_gold`` recomputes the windows of the touched partitions: exact for every order of arrival.
+``start_gold`` recomputes the windows of the touched partitions: exact for every order of arrival;
+``start_silver_and_gold`` does so in the query that builds silver.
 ``start_gold_partials`` keeps mergeable partials: does not read silver again, exact when no reading
 comes twice. ``start_gold_native`` keeps the windows in Spark's state: lowest latency, drops rows
 behind the watermark.
@@ -27,6 +28,7 @@ from millrace.sinks.fanout import fan_out
 from millrace.sinks.upsert import upsert
 from millrace.sources.tables import Partitions
 from millrace.streaming.bronze import DRAIN
+from millrace.streaming.silver import readings_of, store_batch
 
 WINDOW_KEY = ["device_id", "window_start"]
 
@@ -55,35 +57,51 @@ def upsert_windows(layout: Layout, stats: DataFrame) -> None:
     fan_out(with_window_bucket(stats, layout), [write(s) for s in STATISTICS])
 
 
-def recompute_batch(layout: Layout, changes: DataFrame, batch_id: int) -> None:
-    """Recompute every window of the silver partitions announced in this batch.
+def recompute_windows(spark: SparkSession, layout: Layout, touched: Partitions) -> None:
+    """Recompute every window of some silver partitions.
 
     A partition holds whole windows, so its windows need no other partition. Late rows correct
     their window, nothing is added twice, and a replay gives the same tables.
     """
-    if changes.isEmpty():
+    if touched.values == []:
         return
-    spark = changes.sparkSession
-    touched = Partitions.of(changes, "event_bucket")
     silver = layout.silver.read_partitions(spark, touched)
     replace_windows(layout, window_statistics(silver, layout.window, layout.numeric), touched)
 
 
+def recompute_batch(layout: Layout, changes: DataFrame, batch_id: int) -> None:
+    recompute_windows(changes.sparkSession, layout, Partitions.of(changes, "event_bucket"))
+
+
 def start_gold(
     spark: SparkSession, layout: Layout, trigger: dict = DRAIN, max_files: int | None = None
 ) -> StreamingQuery:
-    # A replayed silver batch may replace the file of its announcement while it is being read.
-    changes = layout.changes.read_stream(spark, maxFilesPerTrigger=max_files, ignoreMissingFiles=True)
+    # Announcements are deleted once they are done with, so that the folder stays short.
+    clean = "delete" if layout.changes.is_path else None
+    changes = layout.changes.read_stream(spark, maxFilesPerTrigger=max_files, cleanSource=clean)
     return _start(layout, changes, recompute_batch, "gold", trigger)
 
 
+def start_silver_and_gold(
+    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, max_files: int | None = None
+) -> StreamingQuery:
+    """Both layers in one query: no second trigger and no announcements to follow.
+
+    It goes on from the checkpoint of ``start_silver``; run one or the other.
+    """
+
+    def both(layout: Layout, readings: DataFrame, batch_id: int) -> None:
+        recompute_windows(readings.sparkSession, layout, store_batch(layout, readings, batch_id))
+
+    readings = readings_of(layout.bronze.read_stream(spark, maxFilesPerTrigger=max_files), layout)
+    return _start(layout, readings, both, "silver", trigger)
+
+
 def partials_batch(layout: Layout, readings: DataFrame, batch_id: int) -> None:
     """Add one batch of readings to the partials and refresh the windows it touches.
 
     The partials of a batch replace partition (bucket, batch), so a replay does not count twice.
     """
-    if readings.isEmpty():
-        return
     spark = readings.sparkSession
     wide = pivot_readings(readings, layout.catalog, ("device_id", "timestampUtc"))
     wide = wide.withColumn("event_time", instant("timestampUtc"))
@@ -91,6 +109,8 @@ def partials_batch(layout: Layout, readings: DataFrame, batch_id: int) -> None:
     partials = partials.withColumn("bid", F.lit(batch_id).cast("bigint")).persist()
     try:
         touched = Partitions.of(partials, "window_bucket")
+        if touched.values == []:
+            return
         layout.partials.overwrite_partitions(partials, touched)
         stored = layout.partials.read_partitions(spark, touched)
         replace_windows(layout, merge_partials(stored, layout.numeric), touched)

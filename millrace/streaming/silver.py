@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.catalog import Layout
 from millrace.operators.readings import explode_readings, valid_readings, with_bucket
-from millrace.operators.wide import wide_records
+from millrace.operators.wide import whole_second_records, wide_records
 from millrace.sources.tables import Partitions
 from millrace.streaming.bronze import DRAIN
 
@@ -18,8 +18,14 @@ def readings_of(bronze: DataFrame, layout: Layout) -> DataFrame:
     return with_bucket(valid_readings(explode_readings(bronze, layout.order_by)), layout.grain)
 
 
-def store_batch(layout: Layout, readings: DataFrame, batch_id: int) -> None:
-    """Take one batch of readings into silver. Running it again changes nothing.
+def records_of(readings: DataFrame, layout: Layout) -> DataFrame:
+    """Silver records of readings; the same for a stream and for a batch."""
+    wide = wide_records(readings, layout.catalog, ("event_bucket",))
+    return whole_second_records(wide) if layout.whole_seconds else wide
+
+
+def store_batch(layout: Layout, readings: DataFrame, batch_id: int) -> Partitions:
+    """Take one batch of readings into silver and tell what it touched. Again changes nothing.
 
     1. The readings replace partition (bucket, batch), so a replay does not add them twice.
     2. Every touched bucket of silver is rebuilt from all its readings, so that the halves of a
@@ -31,13 +37,12 @@ def store_batch(layout: Layout, readings: DataFrame, batch_id: int) -> None:
     try:
         touched = Partitions.of(batch, "event_bucket")
         if touched.values == []:
-            return
+            return touched
         layout.readings.overwrite_partitions(batch, touched)
         stored = layout.readings.read_partitions(spark, touched)
-        wide = wide_records(stored, layout.catalog, ("event_bucket",))
-        layout.silver.overwrite_partitions(wide, touched)
-        changes = touched.frame.withColumn("bid", F.lit(batch_id).cast("bigint"))
-        layout.changes.overwrite_partitions(changes)
+        layout.silver.overwrite_partitions(records_of(stored, layout), touched)
+        layout.changes.append(touched.frame.withColumn("bid", F.lit(batch_id)).coalesce(1))
+        return touched
     finally:
         batch.unpersist()
 

@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import STATISTICS, Layout
 from millrace.operators.health import gold_status, layer_status, processing_rate
-from millrace.plans.batch import all_bronze, backfill, gold_of, rebuild, silver_of
+from millrace.plans.batch import all_bronze, backfill, gold_of, rebuild, register_views, silver_of
 from millrace.sources import tables
 from millrace.sources.tables import Partitions
 from millrace.streaming.bronze import start_bronze
-from millrace.streaming.gold import recompute_batch, start_gold, start_gold_native, start_gold_partials
+from millrace.streaming.gold import (
+    recompute_batch,
+    start_gold,
+    start_gold_native,
+    start_gold_partials,
+    start_silver_and_gold,
+)
 from millrace.streaming.silver import readings_of, start_silver, store_batch
 
 MINUTE = 1704067200000
@@ -106,10 +112,9 @@ def test_missing_and_empty_layers(spark, folder_layout):
     assert found == {"AVG": "empty", "MIN": "missing", "MAX": "missing", "STDDEV": "missing"}
 
 
-@pytest.mark.parametrize("start", [start_gold, start_gold_partials])
-def test_late_rows_correct_their_window(spark, tmp_path, start):
+@pytest.mark.parametrize("layers", [[start_silver, start_gold], [start_silver_and_gold], [start_gold_partials]])
+def test_late_rows_correct_their_window(spark, tmp_path, layers):
     layout, landing = Layout(root=str(tmp_path / "store")), tmp_path / "landing"
-    layers = [start_silver, start] if start is start_gold else [start]
     for name, values in [("a", [10, 20]), ("b", [60]), ("c", [100])]:
         at = {10: 0, 20: 10_000, 60: 20_000, 100: 30_000}
         drop(landing, f"{name}.json", [reading(at=MINUTE + at[v], value=v) for v in values])
@@ -146,7 +151,7 @@ def test_replay_changes_nothing(spark, folder_layout, tmp_path):
     silver, gold = silver_rows(spark, layout), gold_rows(spark, layout)
     for _ in range(2):
         store_batch(layout, readings_of(layout.bronze.read(spark), layout), 0)
-        recompute_batch(layout, layout.changes.read(spark), 0)
+        recompute_batch(layout, layout.silver.read(spark).select("event_bucket"), 0)
     assert silver_rows(spark, layout) == silver
     assert gold_rows(spark, layout) == gold
     assert layout.readings.read(spark).count() == 5
@@ -235,3 +240,24 @@ def test_impossible_times_do_not_stop_the_batch(spark, folder_layout, tmp_path):
     drop(landing, "a.json", [reading(at=10**18), reading(at=None), reading(value=4)])
     run(spark, layout, landing, start_silver, start_gold)
     assert gold_rows(spark, layout) == [(1, MINUTE, 4.0)]
+
+
+def test_whole_second_records(spark, tmp_path):
+    layout, landing = Layout(root=str(tmp_path / "store"), whole_seconds=True), tmp_path / "landing"
+    drop(landing, "a.json", [reading(at=MINUTE + 809, value=2)])
+    run(spark, layout, landing, start_silver_and_gold)
+    drop(landing, "b.json", [reading(at=MINUTE + 509, value=1), reading(at=MINUTE + 1_000, value=4)])
+    run(spark, layout, landing, start_silver_and_gold)
+    rows = layout.silver.read(spark).select(F.unix_millis("event_time"), "Wind_speed").orderBy("event_time")
+    assert [tuple(r) for r in rows.collect()] == [(MINUTE, 1.0), (MINUTE + 1_000, 4.0)]
+    assert gold_rows(spark, layout) == [(1, MINUTE, 2.5)]
+
+
+def test_layers_from_sql(spark, folder_layout, tmp_path):
+    layout, landing = folder_layout, tmp_path / "landing"
+    drop(landing, "a.json", [reading(device=13, value=1), reading(device=2, value=3)])
+    run(spark, layout, landing, start_silver_and_gold)
+    assert register_views(spark, layout)[:2] == ["bronze", "silver"]
+    assert spark.sql("SELECT * FROM silver WHERE device_id = '13'").count() == 1
+    rows = spark.sql("SELECT * FROM metrics_avg ORDER BY device_id").collect()
+    assert [(r["device_id"], r["Wind_speed"]) for r in rows] == [(2, 3.0), (13, 1.0)]
