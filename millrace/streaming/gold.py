@@ -132,15 +132,23 @@ def native_batch(layout: Layout, stats: DataFrame, batch_id: int) -> None:
 
 
 def start_gold_native(
-    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, max_files: int | None = None
+    spark: SparkSession,
+    layout: Layout,
+    trigger: dict = DRAIN,
+    max_files: int | None = None,
+    distinct: bool = True,
 ) -> StreamingQuery:
     """Windows in Spark's state, changed windows upserted after each batch.
 
-    Reads bronze. Each reading must come once; rows behind the watermark are dropped.
+    Reads bronze. Rows behind the watermark are dropped, and so is, with ``distinct``, a reading
+    that comes again within it. Where devices never repeat themselves, without ``distinct`` one
+    shuffle of all readings and its state are saved.
     """
     bronze = layout.bronze.read_stream(spark, maxFilesPerTrigger=max_files)
     readings = valid_readings(explode_readings(bronze)).withColumn("event_time", instant("timestampUtc"))
     readings = readings.withWatermark("event_time", layout.watermark)
+    if distinct:
+        readings = readings.dropDuplicatesWithinWatermark(["device_id", "metric", "timestampUtc"])
     stats = reading_window_statistics(readings, layout.window, layout.catalog)
     return _start(layout, stats, native_batch, "gold_native", trigger, mode="update")
 

@@ -54,7 +54,7 @@ def test_autumn_clock_change_keeps_both_instants(new_york):
     assert [r[0] for r in back.collect()] == [first, second]
 
 
-@pytest.mark.parametrize("grain,expected", [("day", "2024-11-03"), ("hour", "2024-11-03T05")])
+@pytest.mark.parametrize("grain,expected", [("day", "2024-11-03"), ("hour", "2024-11-03T05"), ("quarter", "2024-11-03T05-30")])
 def test_buckets_do_not_depend_on_the_zone(new_york, grain, expected):
     row = millis(new_york, 1730611800000).select(
         bucket_of_millis(F.col("ms"), grain).alias("a"), bucket_of_instant(instant("ms"), grain).alias("b")
@@ -63,7 +63,8 @@ def test_buckets_do_not_depend_on_the_zone(new_york, grain, expected):
 
 
 def test_bucket_before_the_epoch(spark):
-    assert millis(spark, -1).select(bucket_of_millis(F.col("ms"), "hour")).first()[0] == "1969-12-31T23"
+    for grain, name in [("hour", "1969-12-31T23"), ("quarter", "1969-12-31T23-45")]:
+        assert millis(spark, -1).select(bucket_of_millis(F.col("ms"), grain)).first()[0] == name
 
 
 def test_time_range(spark):

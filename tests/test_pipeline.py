@@ -134,6 +134,16 @@ def test_native_state_drops_rows_behind_the_watermark(spark, tmp_path):
     assert gold_rows(spark, layout, "min", ("Rotor_rpm",))[0][2] is None
 
 
+def test_native_state_counts_a_repeated_reading_once(spark, tmp_path):
+    layout, landing = Layout(root=str(tmp_path / "store")), tmp_path / "landing"
+    once = reading(value=10)
+    drop(landing, "a.json", [once, once, reading(at=MINUTE + 5_000, value=20)])
+    run(spark, layout, landing, start_gold_native)
+    drop(landing, "b.json", [once, reading(at=MINUTE + 6_000, value=60)])
+    run(spark, layout, landing, start_gold_native)
+    assert gold_rows(spark, layout) == [(1, MINUTE, 30.0)]
+
+
 def test_record_split_over_batches_becomes_one(spark, folder_layout, tmp_path):
     layout, landing = folder_layout, tmp_path / "landing"
     items = list(METRICS.items())
@@ -170,9 +180,9 @@ def random_envelopes(seed, count=60):
     return out
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_stream_equals_batch(spark, tmp_path, parts):
-    layout, landing = Layout(root=str(tmp_path / "store")), tmp_path / "landing"
+@pytest.mark.parametrize("parts,grain", [(1, "hour"), (3, "quarter")])
+def test_stream_equals_batch(spark, tmp_path, parts, grain):
+    layout, landing = Layout(root=str(tmp_path / "store"), grain=grain), tmp_path / "landing"
     envelopes = random_envelopes(parts)
     for i in range(parts):
         drop(landing, f"{i}.json", *envelopes[i::parts])
