@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import STATISTICS, Layout
 from millrace.operators.windows import one_statistic, window_statistics
-from millrace.sinks.fanout import fan_out
+from millrace.sinks.fanout import computed_once
 from millrace.sources.backfill import pending_rows
 from millrace.streaming.gold import recompute_windows, with_window_bucket
 from millrace.streaming.silver import readings_of, records_of, store_batch
@@ -50,12 +50,10 @@ def rebuild(spark: SparkSession, layout: Layout) -> None:
     layout.readings.overwrite(readings.withColumn("bid", F.lit(REBUILD)))
     stored = layout.readings.read(spark)
     layout.silver.overwrite(records_of(stored, layout))
-
-    def write(statistic: str):
-        return lambda stats: layout.gold(statistic).overwrite(one_statistic(stats, statistic))
-
     stats = gold_of(layout.silver.read(spark), layout)
-    fan_out(with_window_bucket(stats, layout), [write(s) for s in STATISTICS])
+    with computed_once(with_window_bucket(stats, layout)) as stats:
+        for statistic in STATISTICS:
+            layout.gold(statistic).overwrite(one_statistic(stats, statistic))
 
 
 def backfill(spark: SparkSession, layout: Layout, folder: str, load: int, by: str = "path") -> None:

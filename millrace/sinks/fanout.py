@@ -1,28 +1,31 @@
-"""One result written to several tables at once."""
+"""One result written to several tables."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def fan_out(result: DataFrame, writes: Iterable[Callable[[DataFrame], None]]) -> None:
-    """Compute ``result`` once and run every write on it.
+@contextmanager
+def computed_once(result: DataFrame) -> Iterator[DataFrame]:
+    """Keep a result while it is written; what does not fit in memory goes to disk.
 
-    The first write fills the cache on its own, or executors would compute the same partition side by
-    side. The others then share the executors, so that the tail of one does not leave them idle. Rows
-    that do not fit in memory go to disk, and are computed again if an executor is lost.
+    Partitions that are lost with an executor are computed again.
     """
-    first, *others = writes
     result = result.persist(StorageLevel.MEMORY_AND_DISK)
-    target = inheritable_thread_target(result.sparkSession)
     try:
-        first(result)
-        with ThreadPoolExecutor(max(len(others), 1)) as pool:
-            for done in [pool.submit(target(write), result) for write in others]:
-                done.result()
+        yield result
     finally:
         result.unpersist()
+
+
+def side_by_side(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
+    """Run jobs that share the executors, so that the tail of one does not leave them idle."""
+    target = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(target(job)) for job in jobs]:
+            done.result()

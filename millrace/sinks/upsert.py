@@ -27,14 +27,14 @@ def _all(conditions):
     return condition
 
 
-def upsert(dataset: Dataset, source: DataFrame, keys: list[str]) -> None:
+def upsert(
+    dataset: Dataset, source: DataFrame, keys: list[str], touched: Partitions | None = None
+) -> None:
     """Merge ``source`` into ``dataset``, rewriting only the partitions it touches.
 
     Creates the dataset from the first source. Writing the same source twice changes nothing.
     """
     spark = source.sparkSession
-    touched = Partitions.of(source, dataset.partition_by[0])
-    if dataset.exists(spark):
-        target = dataset.read_partitions(spark, touched)
-        source = merged(target, source.select(target.columns), keys)
-    dataset.overwrite_partitions(source, touched)
+    touched = touched or Partitions.of(source, dataset.partition_by[0])
+    target = dataset.read_partitions(spark, touched)
+    dataset.overwrite_partitions(merged(target, source.select(target.columns), keys), touched)

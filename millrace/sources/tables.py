@@ -43,13 +43,9 @@ class Dataset:
     def exists(self, spark: SparkSession) -> bool:
         if not self.is_path:
             return spark.catalog.tableExists(self.location)
-        try:
-            spark.read.schema(self.schema).parquet(self.location)
-        except AnalysisException as e:
-            if is_missing(e):
-                return False
-            raise
-        return True
+        # Asking the file system is one call; a reader would list every file of the folder first.
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.location)
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.is_path:

@@ -9,6 +9,8 @@ behind the watermark.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,7 +26,7 @@ from millrace.operators.windows import (
     window_partials,
     window_statistics,
 )
-from millrace.sinks.fanout import fan_out
+from millrace.sinks.fanout import computed_once, side_by_side
 from millrace.sinks.upsert import upsert
 from millrace.sources.tables import Partitions
 from millrace.streaming.bronze import DRAIN
@@ -39,22 +41,29 @@ def with_window_bucket(stats: DataFrame, layout: Layout) -> DataFrame:
 
 def replace_windows(layout: Layout, stats: DataFrame, touched: Partitions | None = None) -> None:
     """Write whole window partitions, one table per statistic, from one computation."""
+    with computed_once(with_window_bucket(stats, layout)) as stats:
 
-    def write(statistic: str):
-        gold = layout.gold(statistic)
-        return lambda stats: gold.overwrite_partitions(one_statistic(stats, statistic), touched)
+        def write(statistic: str) -> None:
+            layout.gold(statistic).overwrite_partitions(one_statistic(stats, statistic), touched)
 
-    fan_out(with_window_bucket(stats, layout), [write(s) for s in STATISTICS])
+        # The first write fills the cache on its own: executors that start on it together would
+        # compute the same partition side by side.
+        first, *others = STATISTICS
+        write(first)
+        side_by_side(stats.sparkSession, [partial(write, s) for s in others])
 
 
 def upsert_windows(layout: Layout, stats: DataFrame) -> None:
     """Insert or replace single windows, one table per statistic, from one computation."""
+    with computed_once(with_window_bucket(stats, layout)) as stats:
+        touched = Partitions.of(stats, "window_bucket")
+        if touched.values == []:
+            return
 
-    def write(statistic: str):
-        gold = layout.gold(statistic)
-        return lambda stats: upsert(gold, one_statistic(stats, statistic), WINDOW_KEY)
+        def write(statistic: str) -> None:
+            upsert(layout.gold(statistic), one_statistic(stats, statistic), WINDOW_KEY, touched)
 
-    fan_out(with_window_bucket(stats, layout), [write(s) for s in STATISTICS])
+        side_by_side(stats.sparkSession, [partial(write, s) for s in STATISTICS])
 
 
 def recompute_windows(spark: SparkSession, layout: Layout, touched: Partitions) -> None:
@@ -106,16 +115,14 @@ def partials_batch(layout: Layout, readings: DataFrame, batch_id: int) -> None:
     wide = pivot_readings(readings, layout.catalog, ("device_id", "timestampUtc"))
     wide = wide.withColumn("event_time", instant("timestampUtc"))
     partials = with_window_bucket(window_partials(wide, layout.window, layout.numeric), layout)
-    partials = partials.withColumn("bid", F.lit(batch_id).cast("bigint")).persist()
-    try:
+    partials = partials.withColumn("bid", F.lit(batch_id).cast("bigint"))
+    with computed_once(partials) as partials:
         touched = Partitions.of(partials, "window_bucket")
         if touched.values == []:
             return
         layout.partials.overwrite_partitions(partials, touched)
         stored = layout.partials.read_partitions(spark, touched)
         replace_windows(layout, merge_partials(stored, layout.numeric), touched)
-    finally:
-        partials.unpersist()
 
 
 def start_gold_partials(
@@ -127,8 +134,7 @@ def start_gold_partials(
 
 
 def native_batch(layout: Layout, stats: DataFrame, batch_id: int) -> None:
-    if not stats.isEmpty():
-        upsert_windows(layout, stats)
+    upsert_windows(layout, stats)
 
 
 def start_gold_native(

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.catalog import Layout
 from millrace.operators.readings import explode_readings, valid_readings, with_bucket
 from millrace.operators.wide import whole_second_records, wide_records
+from millrace.sinks.fanout import computed_once
 from millrace.sources.tables import Partitions
 from millrace.streaming.bronze import DRAIN
 
@@ -33,8 +34,8 @@ def store_batch(layout: Layout, readings: DataFrame, batch_id: int) -> Partition
     3. The touched buckets are announced to the gold stream, last, when silver is complete.
     """
     spark = readings.sparkSession
-    batch = readings.withColumn("bid", F.lit(batch_id).cast("bigint")).persist()
-    try:
+    numbered = readings.withColumn("bid", F.lit(batch_id).cast("bigint"))
+    with computed_once(numbered) as batch:
         touched = Partitions.of(batch, "event_bucket")
         if touched.values == []:
             return touched
@@ -43,8 +44,6 @@ def store_batch(layout: Layout, readings: DataFrame, batch_id: int) -> Partition
         layout.silver.overwrite_partitions(records_of(stored, layout), touched)
         layout.changes.append(touched.frame.withColumn("bid", F.lit(batch_id)).coalesce(1))
         return touched
-    finally:
-        batch.unpersist()
 
 
 def start_silver(
