@@ -11,7 +11,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,7 +21,7 @@ from millrace.operators.readings import explode_readings  # noqa: E402
 from millrace.operators.windows import window_statistics  # noqa: E402
 from millrace.plans.queries import QUERIES  # noqa: E402
 from millrace.plans.standins import bronze_frame, table, telemetry  # noqa: E402
-from millrace.session import build_session  # noqa: E402
+from millrace.session import build_session, scratch_folder  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -63,7 +62,7 @@ def main() -> None:
     times = {}
 
     # The shapes of the baseline: JSON text built beforehand, and one-minute windows.
-    text = f"{tempfile.mkdtemp(prefix='millrace-bench-')}/bronze"
+    text = f"{scratch_folder(spark, 'bench')}/bronze"
     bronze_frame(telemetry(spark, SF_DIR)).write.parquet(text)
     times["parse_and_explode_prebuilt"] = median(
         lambda: run(explode_readings(spark.read.parquet(text), ("sequence",)))

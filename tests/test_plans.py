@@ -4,6 +4,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.catalog import Layout
 from millrace.operators.lookups import device_counts, of_device
@@ -11,7 +12,7 @@ from millrace.operators.windows import one_statistic, window_statistics
 from millrace.plans.batch import gold_of, silver_of
 from millrace.plans.queries import QUERIES
 from millrace.plans.standins import EVENT_METRICS
-from millrace.sources.tables import Partitions
+from millrace.sources.tables import Dataset, Partitions
 
 
 def plan(frame) -> str:
@@ -99,3 +100,22 @@ def test_no_cross_join_and_no_python(spark, sf_dir, name):
 def test_hash_aggregate_of_the_windows(spark, sf_dir):
     found = plan(QUERIES["tumbling_stats"](spark, sf_dir))
     assert "SortAggregate" not in found and len(EVENT_METRICS.names) == 5
+
+
+def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    schema = T.StructType([T.StructField("v", T.StringType()), T.StructField("part", T.StringType())])
+    dataset = Dataset(str(tmp_path / "hot"), schema, ("part",), ("v",))
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 40).cast("string")).alias("part"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        dataset.overwrite_partitions(rows)
+    finally:
+        spark.conf.set(key, before)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "hot").glob("part=*")}
+    assert len(files) == 41 and files["part=hot"] > 1
+    assert dataset.read(spark).count() == 200_000
