@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog import STATISTICS, Layout
-from millrace.functions.parsing import parse_readings
 
 # Fixed value: how much of an error text a status row shows.
 ERROR_LENGTH = 50
@@ -87,7 +86,7 @@ def rates(*counts: DataFrame) -> DataFrame:
 
 
 def processing_rate(bronze: DataFrame, silver: DataFrame, stored_readings: DataFrame) -> DataFrame:
-    size = F.array_size(parse_readings("values")).cast("bigint")
+    size = F.json_array_length("values").cast("bigint")
     return rates(
         bronze.agg(
             F.count("*").alias("bronze_records"),

@@ -226,7 +226,7 @@ def status_of_layers(spark: SparkSession, sf: str) -> DataFrame:
 
 def rate(spark: SparkSession, sf: str) -> DataFrame:
     bronze = bronze_frame(telemetry(spark, sf))
-    size = F.array_size(F.from_json("values", "array<string>")).cast("bigint")
+    size = F.json_array_length("values").cast("bigint")
     return rates(
         bronze.agg(F.count("*").alias("bronze_records"), F.sum(size).alias("bronze_readings")),
         hourly_records(spark, sf).agg(F.count("*").alias("silver_records")),

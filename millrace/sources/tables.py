@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from threading import Lock
 
@@ -13,6 +14,9 @@ from pyspark.sql import types as T
 # Up to this many partitions are named in the plan; more are matched with a semi join.
 MAX_NAMED_PARTITIONS = 1_000
 
+# Partition values that are written in a path, and in a path pattern, as they are.
+PLAIN_NAME = re.compile(r"[A-Za-z0-9_.-]+")
+
 # Rows for at most this many partitions are written as they lie; for more, a shuffle brings the rows
 # of a partition together first, or every task would write a small file into every partition.
 FEW_PARTITIONS = 4
@@ -75,10 +79,8 @@ class Dataset:
             return self.read_or_empty(spark).join(wanted, key, "left_semi").select(self.schema.names)
         if not partitions.values:
             return self.empty(spark)
-        if not self.is_path:
-            if not self.exists(spark):
-                return self.empty(spark)
-            return self.read(spark).where(F.col(key).isin(partitions.values))
+        if not self.is_path or not all(PLAIN_NAME.fullmatch(v) for v in partitions.values):
+            return self.read_or_empty(spark).where(F.col(key).isin(partitions.values))
         reader = spark.read.schema(self.schema).option("basePath", self.location)
         try:
             return reader.parquet(f"{self.location}/{key}={{{','.join(partitions.values)}}}")
@@ -168,5 +170,8 @@ class Partitions:
     @staticmethod
     def of(frame: DataFrame, column: str, limit: int = MAX_NAMED_PARTITIONS) -> Partitions:
         distinct = frame.select(column).distinct()
-        rows = distinct.limit(limit + 1).collect()
-        return Partitions(distinct, sorted(r[0] for r in rows) if len(rows) <= limit else None)
+        values = [r[0] for r in distinct.limit(limit + 1).collect()]
+        named = len(values) <= limit
+        if None in values if named else not distinct.where(F.col(column).isNull()).isEmpty():
+            raise ValueError(f"rows without {column} have no partition")
+        return Partitions(distinct, sorted(values) if named else None)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import types as T
 
 from millrace.catalog import LANDING_SCHEMA
+from millrace.session import scratch_folder
 from millrace.sinks.upsert import upsert
 from millrace.sources import tables
 from millrace.sources.backfill import pending_files, pending_rows
@@ -177,6 +178,38 @@ def test_the_session_mode_is_left_as_it_was(spark, dataset):
     assert spark.conf.get(tables.DYNAMIC) == before
 
 
+def test_partition_names_that_a_path_changes(spark, dataset):
+    odd = "a b{c},2024-01-01 00:00:00"
+    upsert(dataset, frame(spark, (1, 0, 1.0, "a", odd), (2, 0, 1.0, "a", odd), (3, 0, 1.0, "a", "p")), ["k", "start"])
+    upsert(dataset, frame(spark, (1, 0, 2.0, "a", odd)), ["k", "start"])
+    expected = [(1, 0, 2.0, "a", odd), (2, 0, 1.0, "a", odd), (3, 0, 1.0, "a", "p")]
+    assert content(spark, dataset) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("limit", [10, 1])
+def test_rows_without_partition_are_refused(spark, limit):
+    rows = frame(spark, (1, 0, 1.0, "a", None), (2, 0, 1.0, "a", "p"), (2, 0, 1.0, "a", "q"))
+    with pytest.raises(ValueError):
+        Partitions.of(rows, "part", limit)
+
+
+class Session:
+    def __init__(self, **conf):
+        self.values = {k.replace("_", "."): v for k, v in conf.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_scratch_is_shared_storage():
+    folder = scratch_folder(Session(spark_checkpoint_dir="hdfs://store/ckpt/", spark_master="yarn"), "x")
+    assert folder.startswith("hdfs://store/ckpt/millrace-x-")
+    with pytest.raises(ValueError):
+        scratch_folder(Session(spark_master="yarn"), "x")
+    assert "millrace-x-" in scratch_folder(Session(spark_master="local[8]"), "x")
+
+
 def test_untouched_partitions_keep_their_files(spark, tmp_path):
     dataset = Dataset(str(tmp_path / "target"), SCHEMA, ("part",))
     upsert(dataset, frame(spark, (1, 0, 1.0, "a", "p"), (2, 0, 1.0, "a", "q")), ["k", "start"])
