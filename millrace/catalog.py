@@ -66,7 +66,7 @@ STATISTICS = ("avg", "min", "max", "stddev")
 DEFAULT_WINDOW = "1 minute"
 DEFAULT_WATERMARK = "30 seconds"
 
-# The gold key and stamp columns, never treated as metrics.
+# The columns that are never metrics, and the types of those that get statistics.
 NOT_METRICS = frozenset({"device_id", "event_time", "inserted_at"})
 NUMERIC_TYPES = (T.DoubleType, T.IntegerType, T.FloatType, T.LongType)
 
@@ -90,8 +90,9 @@ class Layout:
     ``database`` the layers are catalog tables of that database, otherwise Parquet folders in
     ``root``. ``grain`` is the event-time span of one storage partition: the unit that a late row
     causes to be rebuilt. ``whole_seconds`` is the compatibility form of silver: times cut to
-    seconds and one record per device and second. ``order_by`` names the bronze columns that say which of two readings of
-    the same device, metric and instant came first; the position in the envelope follows them.
+    seconds and one record per device and second. ``order_by`` names the bronze columns that say
+    which of two readings of the same device, metric and instant came first; the position in the
+    envelope follows them.
     """
 
     root: str

@@ -26,21 +26,20 @@ def landing_stream(
     spark: SparkSession,
     folder: str,
     schema: T.StructType,
-    max_files: int | None = None,
     multi_line: bool = False,
     archive: str | None = None,
+    **limits: str | int,
 ) -> DataFrame:
     """The JSON files of a folder as a stream, each file once.
 
     Nested values stay text when ``schema`` declares them as string. Only ``*.json`` is read, so half
     written ``.tmp`` files are left alone. ``archive`` moves files away once they are done, which
-    keeps the listing of a busy folder short.
+    keeps the listing of a busy folder short. ``limits`` bound a batch: ``maxFilesPerTrigger`` or
+    ``maxBytesPerTrigger``.
     """
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", JSON_FILES)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", JSON_FILES).options(**limits)
     if multi_line:
         reader = reader.option("multiLine", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return stamped(reader.json(folder))

@@ -17,9 +17,10 @@ def start_bronze(
     layout: Layout,
     landing: str,
     trigger: dict = DRAIN,
-    max_files: int | None = None,
-    **options,
+    multi_line: bool = False,
+    archive: str | None = None,
+    **limits: str | int,
 ) -> StreamingQuery:
     """Append every new JSON file to bronze, once; a later run goes on where this one ended."""
-    rows = landing_stream(spark, landing, layout.landing_schema, max_files, **options)
+    rows = landing_stream(spark, landing, layout.landing_schema, multi_line, archive, **limits)
     return layout.bronze.append_stream(rows, layout.checkpoint("bronze"), trigger)

@@ -83,16 +83,16 @@ def recompute_batch(layout: Layout, changes: DataFrame, batch_id: int) -> None:
 
 
 def start_gold(
-    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, max_files: int | None = None
+    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, **limits: str | int
 ) -> StreamingQuery:
     # Announcements are deleted once they are done with, so that the folder stays short.
     clean = "delete" if layout.changes.is_path else None
-    changes = layout.changes.read_stream(spark, maxFilesPerTrigger=max_files, cleanSource=clean)
+    changes = layout.changes.read_stream(spark, cleanSource=clean, **limits)
     return _start(layout, changes, recompute_batch, "gold", trigger)
 
 
 def start_silver_and_gold(
-    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, max_files: int | None = None
+    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, **limits: str | int
 ) -> StreamingQuery:
     """Both layers in one query: no second trigger and no announcements to follow.
 
@@ -102,7 +102,7 @@ def start_silver_and_gold(
     def both(layout: Layout, readings: DataFrame, batch_id: int) -> None:
         recompute_windows(readings.sparkSession, layout, store_batch(layout, readings, batch_id))
 
-    readings = readings_of(layout.bronze.read_stream(spark, maxFilesPerTrigger=max_files), layout)
+    readings = readings_of(layout.bronze.read_stream(spark, **limits), layout)
     return _start(layout, readings, both, "silver", trigger)
 
 
@@ -126,9 +126,9 @@ def partials_batch(layout: Layout, readings: DataFrame, batch_id: int) -> None:
 
 
 def start_gold_partials(
-    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, max_files: int | None = None
+    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, **limits: str | int
 ) -> StreamingQuery:
-    bronze = layout.bronze.read_stream(spark, maxFilesPerTrigger=max_files)
+    bronze = layout.bronze.read_stream(spark, **limits)
     readings = valid_readings(explode_readings(bronze, layout.order_by))
     return _start(layout, readings, partials_batch, "gold_partials", trigger)
 
@@ -141,8 +141,8 @@ def start_gold_native(
     spark: SparkSession,
     layout: Layout,
     trigger: dict = DRAIN,
-    max_files: int | None = None,
     distinct: bool = True,
+    **limits: str | int,
 ) -> StreamingQuery:
     """Windows in Spark's state, changed windows upserted after each batch.
 
@@ -150,7 +150,7 @@ def start_gold_native(
     that comes again within it. Where devices never repeat themselves, without ``distinct`` one
     shuffle of all readings and its state are saved.
     """
-    bronze = layout.bronze.read_stream(spark, maxFilesPerTrigger=max_files)
+    bronze = layout.bronze.read_stream(spark, **limits)
     readings = valid_readings(explode_readings(bronze)).withColumn("event_time", instant("timestampUtc"))
     readings = readings.withWatermark("event_time", layout.watermark)
     if distinct:

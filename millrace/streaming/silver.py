@@ -47,9 +47,11 @@ def store_batch(layout: Layout, readings: DataFrame, batch_id: int) -> Partition
 
 
 def start_silver(
-    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, max_files: int | None = None
+    spark: SparkSession, layout: Layout, trigger: dict = DRAIN, **limits: str | int
 ) -> StreamingQuery:
-    bronze = layout.bronze.read_stream(spark, maxFilesPerTrigger=max_files)
+    """``limits`` bound a batch: ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``. Set one where a
+    long backlog may wait, since a batch is kept on the executors while it is written."""
+    bronze = layout.bronze.read_stream(spark, **limits)
     return (
         readings_of(bronze, layout)
         .writeStream.foreachBatch(lambda batch, batch_id: store_batch(layout, batch, batch_id))

@@ -252,6 +252,17 @@ def test_impossible_times_do_not_stop_the_batch(spark, folder_layout, tmp_path):
     assert gold_rows(spark, layout) == [(1, MINUTE, 4.0)]
 
 
+def test_a_bounded_batch_takes_a_part_of_the_backlog(spark, folder_layout, tmp_path):
+    layout, landing = folder_layout, tmp_path / "landing"
+    for i in range(3):
+        drop(landing, f"{i}.json", [reading(at=MINUTE + i, value=i)])
+    start_bronze(spark, layout, str(landing), maxFilesPerTrigger=1).awaitTermination()
+    start_silver(spark, layout, maxBytesPerTrigger=1).awaitTermination()
+    assert layout.readings.read(spark).select("bid").distinct().count() == 3
+    start_gold(spark, layout, maxFilesPerTrigger=2).awaitTermination()
+    assert gold_rows(spark, layout) == [(1, MINUTE, 1.0)]
+
+
 def test_whole_second_records(spark, tmp_path):
     layout, landing = Layout(root=str(tmp_path / "store"), whole_seconds=True), tmp_path / "landing"
     drop(landing, "a.json", [reading(at=MINUTE + 809, value=2)])
