@@ -27,7 +27,7 @@ def bounded_batches(spark: SparkSession) -> None:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: computed once, and whole whatever executor is lost later."""
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
