@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import bounded_batches, chunks, mix64, table, utf8_bytes, written
+from millrace.llm.shared import bounded_batches, chunks, mix64, small, table, utf8_bytes, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -35,6 +35,8 @@ BLOCK_WORDS = 400_000
 #: Rows of buckets, words of groups that go to Python together.
 BATCH_MEMBERS = 40_000
 BATCH_WORDS = 800_000
+#: Documents to verify, up to which their keys are broadcast.
+BROADCAST_ROWS = 500_000
 #: A shingle in more documents than this is counted by a matrix product, others pair by pair.
 FREQUENT = 24
 
@@ -261,7 +263,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     groups = components(candidate_links(nodes, threshold, recall))
     wanted = written(groups.join(nodes.select("key", "first", "copies", "n"), "key"), "groups")
     texts = docs.select(F.col("doc_id").alias("first"), "text", text_key().alias("key"))
-    found = texts.join(wanted.withColumnsRenamed({"first": "_first", "key": "_key"}), F.col("first").eqNullSafe(F.col("_first")) & (F.col("key") == F.col("_key")))
+    # Few documents are wanted as a rule; then the other texts need no shuffle.
+    wanted = small(wanted.withColumnsRenamed({"first": "_first", "key": "_key"}), BROADCAST_ROWS)
+    found = texts.join(wanted, F.col("first").eqNullSafe(F.col("_first")) & (F.col("key") == F.col("_key")))
     # A node of which a row is repeated is met once for each; one is enough.
     found = found.drop("_first", "_key").dropDuplicates(["first", "key"])
     links = written(verified(found, threshold), "verified")

@@ -31,6 +31,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    """df, a written table of narrow rows, to be broadcast if it has at most so many of them; else joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def doc_crc(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string"))
 
