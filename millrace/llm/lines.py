@@ -15,9 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import table, written
+from millrace.llm.shared import small, table, written
 
 VARIABLE = "<*>"
+#: Documents whose lines are asked for or dropped, up to which these are broadcast; beyond, the texts are shuffled.
+BROADCAST_ROWS = 300_000
 
 
 def tokens_of(line: Column) -> Column:
@@ -52,7 +54,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth
     by_doc = lookup.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.h").alias("h")).agg(
         F.collect_list(F.struct("at.pos", "leaf", "line", "n_docs")).alias("wanted")
     )
-    found = _with(docs, by_doc, "inner").select(F.split("text", "\n").alias("all"), "wanted")
+    found = _with(docs, small(written(by_doc, "wanted"), BROADCAST_ROWS), "inner").select(F.split("text", "\n").alias("all"), "wanted")
     found = found.select("all", F.explode("wanted").alias("w")).dropDuplicates(["w"])
     found = found.select("w.leaf", "w.line", "w.n_docs", tokens_of(F.element_at("all", F.col("w.pos") + 1)).alias("tokens"))
     token = found.select("leaf", "line", "n_docs", F.posexplode("tokens").alias("i", "token"))
@@ -90,7 +92,7 @@ def without_recurring(docs: DataFrame, **settings) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (what is left of it) and row (the whole input row) of every row."""
     dropped = dropped_lines(docs.select("doc_id", "text"), **settings)
     rows = docs.select("doc_id", _identity(F.col("text")).alias("h"), F.struct(*docs.columns).alias("row"))
-    rows = _with(rows, dropped, "left").withColumn("lines", F.split("row.text", "\n"))
+    rows = _with(rows, small(written(dropped, "dropped"), BROADCAST_ROWS), "left").withColumn("lines", F.split("row.text", "\n"))
     kept = F.filter("lines", lambda line, i: ~F.array_contains(F.col("gone"), i))
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
     return rows.select(
