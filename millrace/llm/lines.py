@@ -23,8 +23,10 @@ BROADCAST_ROWS = 300_000
 
 
 def tokens_of(line: Column) -> Column:
+    """The words of a line, those with a digit masked. Most lines have neither digits nor other white space than spaces."""
     masked = F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", VARIABLE)
-    return F.filter(F.split(masked, r"[\x20\x09-\x0D]+"), lambda t: t != "")
+    masked = F.regexp_replace(masked, r"[\x09\x0B-\x0D]", " ")
+    return F.array_remove(F.split(F.when(line.rlike(r"[0-9\x09\x0B-\x0D]"), masked).otherwise(line), " "), "")
 
 
 def _identity(text: Column) -> Column:
@@ -35,15 +37,16 @@ def dropped_lines(docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth
     """(doc_id, hash of the text, positions of dropped lines) of documents that lose lines. docs: doc_id, text."""
     docs = docs.select("doc_id", "text", _identity(F.col("text")).alias("h"))
     cut = docs.where("text IS NOT NULL").select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    cut = cut.select("doc_id", "h", "pos", tokens_of(F.col("line")).alias("tokens")).where(F.size("tokens") >= min_tokens)
+    cut = cut.select("doc_id", "h", "pos", tokens_of(F.col("line")).alias("tokens"))
+    # Short lines are left out only afterwards: a filter here would cut each line into tokens twice.
     lines = written(
         cut.select(
-            "doc_id", "h", "pos",
+            "doc_id", "h", "pos", F.size("tokens").alias("n"),
             F.xxhash64(F.size("tokens"), F.array_join(F.slice("tokens", 1, depth), " ")).alias("leaf"),
             F.unhex(F.md5(F.array_join("tokens", " ").cast("binary"))).alias("line"),
         ),
         "lines",
-    )
+    ).where(F.col("n") >= min_tokens)
     in_docs = lines.groupBy("leaf", "line", "doc_id", "h").agg(F.min("pos").alias("pos"))
     per_line = in_docs.groupBy("leaf", "line").agg(
         F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "h", "pos")).alias("at")
