@@ -9,7 +9,7 @@ from millrace.catalog import READING_ARRAY
 
 
 def parse_readings(values: str | Column = "values") -> Column:
-    """JSON text to an array of readings; null where the text is not such an array."""
+    """JSON text to an array of readings; null where the text is no JSON. A single object is one reading."""
     return F.from_json(values, READING_ARRAY)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog import STATISTICS, Layout
+from millrace.sources.backfill import all_bronze
 
 # Fixed value: how much of an error text a status row shows.
 ERROR_LENGTH = 50
@@ -53,8 +54,12 @@ def guarded(spark: SparkSession, layer: str, build: Callable[[], DataFrame], run
 
 
 def layer_status(spark: SparkSession, layout: Layout, run: bool = True) -> DataFrame:
+    def bronze_rows():
+        # Errors of a missing layer are reported; one that only backfills filled is not missing.
+        return all_bronze(spark, layout) if layout.backfill.exists(spark) else layout.bronze.read(spark)
+
     def bronze():
-        return layer_summary(layout.bronze.read(spark), "Bronze", "ingestion_time", devices=False)
+        return layer_summary(bronze_rows(), "Bronze", "ingestion_time", devices=False)
 
     def silver():
         return layer_summary(layout.silver.read(spark), "Silver", "event_time", devices=True)

@@ -20,9 +20,13 @@ def ordered(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy("device_id", "window_start")
 
 
-def schema_report(frame: DataFrame) -> DataFrame:
-    """Position, name, type and number of non-null values of every column, in one pass."""
+def schema_report(frame: DataFrame, counts: bool = False) -> DataFrame:
+    """Position, name and type of every column, without reading a row; with ``counts`` also the
+    number of non-null values, in one pass."""
     fields = frame.schema.fields
+    if not counts:
+        rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)]
+        return frame.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
     counts = frame.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
     rows = F.array(
         *[

@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from millrace.catalog import STATISTICS, Layout
 from millrace.operators.windows import one_statistic, window_statistics
 from millrace.sinks.fanout import computed_once
-from millrace.sources.backfill import pending_rows
-from millrace.streaming.gold import recompute_windows, with_window_bucket
+from millrace.operators.readings import explode_readings, valid_readings
+from millrace.sources.backfill import all_bronze, pending_rows
+from millrace.streaming.gold import (
+    gold_kept_by,
+    partials_batch,
+    partials_of,
+    recompute_windows,
+    with_window_bucket,
+)
 from millrace.streaming.silver import readings_of, records_of, store_batch
 
 # Batch numbers below zero belong to batch jobs; streams count from zero.
@@ -26,27 +33,25 @@ def gold_of(silver: DataFrame, layout: Layout) -> DataFrame:
 
 def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     """A temporary view for each layer that exists, for use from SQL."""
-    layers = {"bronze": layout.bronze, "silver": layout.silver}
+    layers = {"silver": layout.silver}
     layers.update({f"metrics_{s}": layout.gold(s) for s in STATISTICS})
     found = [name for name, dataset in layers.items() if dataset.exists(spark)]
     for name in found:
         layers[name].read(spark).createOrReplaceTempView(name)
+    if layout.bronze.exists(spark) or layout.backfill.exists(spark):
+        all_bronze(spark, layout).createOrReplaceTempView("bronze")
+        found = ["bronze", *found]
     return found
 
 
-def all_bronze(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Bronze rows of the stream and of the backfills."""
-    loaded = layout.backfill.read_or_empty(spark).drop("load")
-    return layout.bronze.read_or_empty(spark).unionByName(loaded)
-
-
 def rebuild(spark: SparkSession, layout: Layout) -> None:
-    """Rebuild readings, silver and the metric tables from all of bronze.
+    """Rebuild readings, silver, the metric tables and, if there are any, the partials from all of bronze.
 
     For use while no stream runs. The streams may go on from their checkpoints afterwards: a reading
     that arrives again does not change silver.
     """
-    readings = readings_of(all_bronze(spark, layout), layout)
+    bronze = all_bronze(spark, layout)
+    readings = readings_of(bronze, layout)
     layout.readings.overwrite(readings.withColumn("bid", F.lit(REBUILD)))
     stored = layout.readings.read(spark)
     layout.silver.overwrite(records_of(stored, layout))
@@ -54,20 +59,32 @@ def rebuild(spark: SparkSession, layout: Layout) -> None:
     with computed_once(with_window_bucket(stats, layout)) as stats:
         for statistic in STATISTICS:
             layout.gold(statistic).overwrite(one_statistic(stats, statistic))
+    if layout.partials.exists(spark):
+        readings = valid_readings(explode_readings(bronze, layout.order_by))
+        layout.partials.overwrite(partials_of(layout, readings, REBUILD))
 
 
-def backfill(spark: SparkSession, layout: Layout, folder: str, load: int, by: str = "path") -> None:
+def backfill(
+    spark: SparkSession, layout: Layout, folder: str, load: int, by: str = "path", multi_line: bool = False
+) -> None:
     """Load the files below ``folder`` that bronze does not hold yet, up to the metric tables.
 
     ``load`` is a number from 1 that the caller gives to this load. After a failure, run the same
-    load again: each step replaces what it wrote before.
+    load again: each step replaces what it wrote before. Gold that is kept by partials gets the load's own
+    partials; gold that is kept in Spark's state cannot take a load, which is an error.
     """
     if load < 1:
         raise ValueError("loads are numbered from 1")
+    kept_by = gold_kept_by(spark, layout)
+    if kept_by == "native":
+        raise ValueError("windows kept in the state of a stream cannot take a backfill; use rebuild without that stream")
     earlier = layout.backfill.read_or_empty(spark).where(F.col("load") != load).drop("load")
     held = layout.bronze.read_or_empty(spark).unionByName(earlier)
-    rows = pending_rows(spark, folder, layout.landing_schema, held, by)
+    rows = pending_rows(spark, folder, layout.landing_schema, held, by, multi_line)
     layout.backfill.overwrite_partitions(rows.withColumn("load", F.lit(load)))
     loaded = layout.backfill.read_or_empty(spark).where(F.col("load") == load)
     touched = store_batch(layout, readings_of(loaded, layout), REBUILD - load)
-    recompute_windows(spark, layout, touched)
+    if kept_by == "partials":
+        partials_batch(layout, valid_readings(explode_readings(loaded, layout.order_by)), REBUILD - load)
+    else:
+        recompute_windows(spark, layout, touched)

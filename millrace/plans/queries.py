@@ -179,8 +179,8 @@ def gold_upsert(spark: SparkSession, sf: str) -> DataFrame:
     def averages(records: DataFrame) -> DataFrame:
         return one_statistic(with_window_bucket(window_statistics(records, DAY), layout), "avg")
 
-    upsert(gold, averages(before), WINDOW_KEY)
-    upsert(gold, averages(full).where("error is not null"), WINDOW_KEY)
+    upsert(gold, averages(before), WINDOW_KEY, fixed_partition=True)
+    upsert(gold, averages(full).where("error is not null"), WINDOW_KEY, fixed_partition=True)
     return shown(gold.read(spark))
 
 
@@ -196,7 +196,7 @@ def device_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def events_schema(spark: SparkSession, sf: str) -> DataFrame:
-    return schema_report(table(spark, sf, "events"))
+    return schema_report(table(spark, sf, "events"), counts=True)
 
 
 def quality(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.sinks.fanout import computed_once
 from millrace.sources.tables import Dataset, Partitions
 
 
@@ -28,13 +29,31 @@ def _all(conditions):
 
 
 def upsert(
-    dataset: Dataset, source: DataFrame, keys: list[str], touched: Partitions | None = None
+    dataset: Dataset,
+    source: DataFrame,
+    keys: list[str],
+    touched: Partitions | None = None,
+    fixed_partition: bool = False,
 ) -> None:
     """Merge ``source`` into ``dataset``, rewriting only the partitions it touches.
 
-    Creates the dataset from the first source. Writing the same source twice changes nothing.
+    Creates the dataset from the first source. Writing the same source twice changes nothing. The
+    source is computed once. A key that the source has twice is an error, as is a key that the
+    dataset holds in another partition; ``fixed_partition`` says that the partition follows from the
+    key, which saves looking for the latter.
     """
     spark = source.sparkSession
-    touched = touched or Partitions.of(source, dataset.partition_by[0])
-    target = dataset.read_partitions(spark, touched)
-    dataset.overwrite_partitions(merged(target, source.select(target.columns), keys), touched)
+    by = dataset.partition_by[0]
+    with computed_once(source) as source:
+        twice = source.groupBy(*keys).count().where("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"a key comes more than once: {twice[0].asDict()}")
+        touched = touched or Partitions.of(source, by)
+        if not fixed_partition and dataset.exists(spark):
+            held, new = dataset.read(spark).select(*keys, by).alias("t"), source.select(*keys, by).alias("s")
+            same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+            moved = held.join(new, _all(same) & ~F.col(f"t.{by}").eqNullSafe(F.col(f"s.{by}")), "left_semi").limit(1).collect()
+            if moved:
+                raise ValueError(f"a key is in another partition: {moved[0].asDict()}")
+        target = dataset.read_partitions(spark, touched)
+        dataset.overwrite_partitions(merged(target, source.select(target.columns), keys))

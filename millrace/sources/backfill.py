@@ -6,10 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.catalog import Layout
 from millrace.sources.landing import JSON_FILES, landing_batch
 
-# Up to this many new files are named in the plan; more are matched with an anti join on the rows.
-MAX_NAMED_FILES = 10_000
+# Characters that a reader would take for a pattern in a path.
+PATTERN_CHARACTERS = str.maketrans({c: f"\\{c}" for c in "\\*?[]{},"})
+
+
+def all_bronze(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Bronze rows of the stream and of the backfills."""
+    loaded = layout.backfill.read_or_empty(spark).drop("load")
+    return layout.bronze.read_or_empty(spark).unionByName(loaded)
 
 
 def file_key(path: str | Column, by: str) -> Column:
@@ -59,18 +66,17 @@ def pending_rows(
     schema: T.StructType,
     bronze: DataFrame,
     by: str = "path",
-    limit: int = MAX_NAMED_FILES,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Bronze rows of the files not loaded yet, ready to append.
 
-    A short list of new files is opened directly. Beyond the limit the folder is read and the rows
-    are matched with the list in a join, so the list never has to fit in the driver.
+    Only these files are opened, and none if nothing is new. Their paths are in the driver, as those
+    of all files that Spark reads.
     """
-    pending = pending_files(spark, folder, bronze, by)
-    paths = [r["path"] for r in pending.limit(limit + 1).collect()]
-    if paths and len(paths) <= limit:
-        return landing_batch(spark, paths, schema)
-    rows = landing_batch(spark, folder, schema, recursive=True)
-    return rows.join(pending.select("source_file"), "source_file", "left_semi").select(
-        *schema.names, "source_file", "ingestion_time"
-    )
+    paths = [r["path"] for r in pending_files(spark, folder, bronze, by).select("path").toLocalIterator()]
+    if not paths:
+        columns = T.StructType(
+            [*schema.fields, T.StructField("source_file", T.StringType()), T.StructField("ingestion_time", T.TimestampType())]
+        )
+        return spark.createDataFrame([], columns)
+    return landing_batch(spark, [p.translate(PATTERN_CHARACTERS) for p in paths], schema, multi_line=multi_line)

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from millrace.sources.tables import is_missing
 
 JSON_FILES = "*.json"
-MAX_COLUMNS = 10_000
+# Spark's own default forgets files a week older than the newest one, and so loses them.
+MAX_FILE_AGE = "3650d"
 
 
 def stamped(raw: DataFrame) -> DataFrame:
@@ -28,16 +29,21 @@ def landing_stream(
     schema: T.StructType,
     multi_line: bool = False,
     archive: str | None = None,
+    recursive: bool = False,
+    max_file_age: str = MAX_FILE_AGE,
     **limits: str | int,
 ) -> DataFrame:
-    """The JSON files of a folder as a stream, each file once.
+    """The JSON files of a folder, with ``recursive`` at any depth, as a stream, each file once.
 
     Nested values stay text when ``schema`` declares them as string. Only ``*.json`` is read, so half
     written ``.tmp`` files are left alone. ``archive`` moves files away once they are done, which
     keeps the listing of a busy folder short. ``limits`` bound a batch: ``maxFilesPerTrigger`` or
-    ``maxBytesPerTrigger``.
+    ``maxBytesPerTrigger``. A file older than ``max_file_age`` before the newest one seen is never
+    read; the driver remembers the names of the files of that span, so with very many files set it
+    to the longest delay of a file and use ``archive``.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", JSON_FILES).options(**limits)
+    reader = reader.option("maxFileAge", max_file_age).option("recursiveFileLookup", recursive)
     if multi_line:
         reader = reader.option("multiLine", True)
     if archive:
@@ -46,9 +52,13 @@ def landing_stream(
 
 
 def landing_batch(
-    spark: SparkSession, folder: str | list[str], schema: T.StructType, recursive: bool = False
+    spark: SparkSession,
+    folder: str | list[str],
+    schema: T.StructType,
+    recursive: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    reader = spark.read.schema(schema).option("pathGlobFilter", JSON_FILES)
+    reader = spark.read.schema(schema).option("pathGlobFilter", JSON_FILES).option("multiLine", multi_line)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     return stamped(reader.json(folder))
@@ -60,15 +70,24 @@ def top_level_names(text: DataFrame, column: str = "value") -> DataFrame:
     return names.withColumn("data_type", F.lit("string"))
 
 
-def infer_schema(spark: SparkSession, folder: str) -> T.StructType:
+def infer_schema(
+    spark: SparkSession, folder: str, multi_line: bool = False, max_columns: int = 10_000
+) -> T.StructType:
     """Every top-level name in the JSON files of a folder, all read as text.
 
-    Types are not inferred: clean data would turn the nested readings into an array of structs.
+    Types are not inferred: clean data would turn the nested readings into an array of structs. With
+    ``multi_line`` a file is one object or an array of objects. No name at all, or more than
+    ``max_columns``, is an error, since the schema would be remembered.
     """
-    lines = spark.read.option("pathGlobFilter", JSON_FILES).text(folder)
-    rows = top_level_names(lines).limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} top-level names in {folder}")
+    texts = spark.read.option("pathGlobFilter", JSON_FILES).text(folder, wholetext=multi_line)
+    if multi_line:
+        array = F.from_json("value", "array<string>")
+        texts = texts.select(F.explode(F.when(F.ltrim("value").startswith("["), array).otherwise(F.array("value"))).alias("value"))
+    rows = top_level_names(texts).limit(max_columns + 1).collect()
+    if not rows:
+        raise ValueError(f"no JSON object in {folder}; are its files multi-line?")
+    if len(rows) > max_columns:
+        raise ValueError(f"more than {max_columns} top-level names in {folder}")
     names = sorted(r["column_name"] for r in rows)
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -89,7 +108,7 @@ def save_schema(spark: SparkSession, store: str, schema: T.StructType) -> None:
 
 
 def remembered_schema(
-    spark: SparkSession, folder: str, store: str, refresh: bool = False
+    spark: SparkSession, folder: str, store: str, refresh: bool = False, multi_line: bool = False
 ) -> T.StructType:
     """The schema kept in ``store``; inferred from ``folder`` and kept there at the first call.
 
@@ -98,7 +117,7 @@ def remembered_schema(
     known = load_schema(spark, store)
     if known is not None and not refresh:
         return known
-    found = infer_schema(spark, folder)
+    found = infer_schema(spark, folder, multi_line)
     if known is not None:
         have = set(known.names)
         found = T.StructType([*known.fields, *[f for f in found.fields if f.name not in have]])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 from dataclasses import dataclass
 from threading import Lock
 
@@ -11,19 +12,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Up to this many partitions are named in the plan; more are matched with a semi join.
-MAX_NAMED_PARTITIONS = 1_000
-
 # Partition values that are written in a path, and in a path pattern, as they are.
 PLAIN_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 
-# Rows for at most this many partitions are written as they lie; for more, a shuffle brings the rows
-# of a partition together first, or every task would write a small file into every partition.
-FEW_PARTITIONS = 4
+# Names in one pattern when partition folders are looked up.
+NAMES_AT_ONCE = 1_000
 
 DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
-# Held while the mode is changed in the session for a table.
+# Held while a table is created or the mode of a session is changed, not while rows are written.
 _MODE_LOCK = Lock()
+_writers: dict[str, list] = {}
+
+
+@contextmanager
+def dynamic_overwrite(spark: SparkSession):
+    """The session replaces partitions for as long as any writer is inside."""
+    session = spark._jsparkSession.sessionUUID()
+    with _MODE_LOCK:
+        count, before = _writers.get(session, (0, None))
+        if not count:
+            before = spark.conf.get(DYNAMIC)
+            spark.conf.set(DYNAMIC, "dynamic")
+        _writers[session] = [count + 1, before]
+    try:
+        yield
+    finally:
+        with _MODE_LOCK:
+            count, before = _writers[session]
+            _writers[session] = [count - 1, before]
+            if count == 1:
+                spark.conf.set(DYNAMIC, before)
+                del _writers[session]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
 
 
 def is_missing(error: AnalysisException) -> bool:
@@ -48,8 +78,7 @@ class Dataset:
         if not self.is_path:
             return spark.catalog.tableExists(self.location)
         # Asking the file system is one call; a reader would list every file of the folder first.
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.location)
-        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        return path_exists(spark, self.location)
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.is_path:
@@ -74,32 +103,28 @@ class Dataset:
     def read_partitions(self, spark: SparkSession, partitions: Partitions) -> DataFrame:
         """The rows of some partitions; the other folders are not even listed."""
         key = self.partition_by[0]
-        if partitions.values is None:
-            wanted = partitions.frame.withColumnRenamed(partitions.frame.columns[0], key)
-            return self.read_or_empty(spark).join(wanted, key, "left_semi").select(self.schema.names)
         if not partitions.values:
             return self.empty(spark)
         if not self.is_path or not all(PLAIN_NAME.fullmatch(v) for v in partitions.values):
             return self.read_or_empty(spark).where(F.col(key).isin(partitions.values))
-        reader = spark.read.schema(self.schema).option("basePath", self.location)
-        try:
-            return reader.parquet(f"{self.location}/{key}={{{','.join(partitions.values)}}}")
-        except AnalysisException as e:
-            if is_missing(e):
-                return self.empty(spark)
-            raise
+        folders = []
+        for i in range(0, len(partitions.values), NAMES_AT_ONCE):
+            names = ",".join(partitions.values[i : i + NAMES_AT_ONCE])
+            folders += matching_paths(spark, f"{self.location}/{key}={{{names}}}")
+        if not folders:
+            return self.empty(spark)
+        return spark.read.schema(self.schema).option("basePath", self.location).parquet(*folders)
 
     def _fitted(self, frame: DataFrame) -> DataFrame:
         return frame.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
 
-    def _arranged(self, frame: DataFrame, few: bool) -> DataFrame:
+    def _arranged(self, frame: DataFrame) -> DataFrame:
         """Rows of one partition together and in order, so that it becomes a few large files.
 
         A rebalance, not a repartition: adaptive execution splits a partition too large for a task.
+        Without it every task would write a small file into every partition.
         """
-        frame = self._fitted(frame)
-        if not few:
-            frame = frame.hint("rebalance", *[F.col(c) for c in self.partition_by])
+        frame = self._fitted(frame).hint("rebalance", *[F.col(c) for c in self.partition_by])
         return frame.sortWithinPartitions(*self.partition_by, *self.sort_by)
 
     def append_stream(self, frame: DataFrame, checkpoint: str, trigger: dict):
@@ -121,20 +146,16 @@ class Dataset:
 
     def overwrite(self, frame: DataFrame) -> None:
         """Replace the whole dataset, also the partitions that the new rows do not have."""
-        writer = self._arranged(frame, few=False).write.mode("overwrite").partitionBy(*self.partition_by)
+        writer = self._arranged(frame).write.mode("overwrite").partitionBy(*self.partition_by)
         if self.is_path:
             writer.option("partitionOverwriteMode", "static").parquet(self.location)
         else:
             # No mode given here: a table would remember it and apply it to every later write.
             writer.format("parquet").saveAsTable(self.location)
 
-    def overwrite_partitions(self, frame: DataFrame, touched: Partitions | None = None) -> None:
-        """Replace exactly the partitions that ``frame`` has rows for; create if missing.
-
-        ``touched`` tells which partitions these are, if the caller knows.
-        """
-        few = touched is not None and touched.values is not None and len(touched.values) <= FEW_PARTITIONS
-        frame = self._arranged(frame, few)
+    def overwrite_partitions(self, frame: DataFrame) -> None:
+        """Replace exactly the partitions that ``frame`` has rows for; create if missing."""
+        frame = self._arranged(frame)
         if self.is_path:
             (
                 frame.write.mode("overwrite")
@@ -147,13 +168,9 @@ class Dataset:
         with _MODE_LOCK:
             if not self.exists(spark):
                 self._create(spark)
-            # For tables the mode is taken from the session only.
-            before = spark.conf.get(DYNAMIC)
-            spark.conf.set(DYNAMIC, "dynamic")
-            try:
-                frame.write.mode("overwrite").insertInto(self.location)
-            finally:
-                spark.conf.set(DYNAMIC, before)
+        # For tables the mode is taken from the session only.
+        with dynamic_overwrite(spark):
+            frame.write.mode("overwrite").insertInto(self.location)
 
     def _create(self, spark: SparkSession) -> None:
         writer = self.empty(spark).write.format("parquet").partitionBy(*self.partition_by)
@@ -162,16 +179,15 @@ class Dataset:
 
 @dataclass(frozen=True)
 class Partitions:
-    """A set of partition values: a short checked list, or a frame when there are too many."""
+    """A set of partition values, by name. There are never more than folders, which the driver lists anyway."""
 
     frame: DataFrame
-    values: list[str] | None
+    values: list[str]
 
     @staticmethod
-    def of(frame: DataFrame, column: str, limit: int = MAX_NAMED_PARTITIONS) -> Partitions:
+    def of(frame: DataFrame, column: str) -> Partitions:
         distinct = frame.select(column).distinct()
-        values = [r[0] for r in distinct.limit(limit + 1).collect()]
-        named = len(values) <= limit
-        if None in values if named else not distinct.where(F.col(column).isNull()).isEmpty():
+        values = [r[0] for r in distinct.collect()]
+        if None in values:
             raise ValueError(f"rows without {column} have no partition")
-        return Partitions(distinct, sorted(values) if named else None)
+        return Partitions(distinct, sorted(values))

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.catalog import Layout
-from millrace.sources.landing import landing_stream
+from millrace.sources.landing import MAX_FILE_AGE, landing_stream
 
 # Take everything that is new, then stop. A long-lived run passes {"processingTime": "10 seconds"}.
 DRAIN = {"availableNow": True}
@@ -19,8 +19,10 @@ def start_bronze(
     trigger: dict = DRAIN,
     multi_line: bool = False,
     archive: str | None = None,
+    recursive: bool = False,
+    max_file_age: str = MAX_FILE_AGE,
     **limits: str | int,
 ) -> StreamingQuery:
     """Append every new JSON file to bronze, once; a later run goes on where this one ended."""
-    rows = landing_stream(spark, landing, layout.landing_schema, multi_line, archive, **limits)
+    rows = landing_stream(spark, landing, layout.landing_schema, multi_line, archive, recursive, max_file_age, **limits)
     return layout.bronze.append_stream(rows, layout.checkpoint("bronze"), trigger)

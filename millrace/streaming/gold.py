@@ -28,23 +28,24 @@ from millrace.operators.windows import (
 )
 from millrace.sinks.fanout import computed_once, side_by_side
 from millrace.sinks.upsert import upsert
-from millrace.sources.tables import Partitions
+from millrace.sources.tables import Partitions, path_exists
 from millrace.streaming.bronze import DRAIN
 from millrace.streaming.silver import readings_of, store_batch
 
 WINDOW_KEY = ["device_id", "window_start"]
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def with_window_bucket(stats: DataFrame, layout: Layout) -> DataFrame:
     return stats.withColumn("window_bucket", bucket_of_instant(F.col("window_start"), layout.grain))
 
 
-def replace_windows(layout: Layout, stats: DataFrame, touched: Partitions | None = None) -> None:
+def replace_windows(layout: Layout, stats: DataFrame) -> None:
     """Write whole window partitions, one table per statistic, from one computation."""
     with computed_once(with_window_bucket(stats, layout)) as stats:
 
         def write(statistic: str) -> None:
-            layout.gold(statistic).overwrite_partitions(one_statistic(stats, statistic), touched)
+            layout.gold(statistic).overwrite_partitions(one_statistic(stats, statistic))
 
         # The first write fills the cache on its own: executors that start on it together would
         # compute the same partition side by side.
@@ -61,7 +62,7 @@ def upsert_windows(layout: Layout, stats: DataFrame) -> None:
             return
 
         def write(statistic: str) -> None:
-            upsert(layout.gold(statistic), one_statistic(stats, statistic), WINDOW_KEY, touched)
+            upsert(layout.gold(statistic), one_statistic(stats, statistic), WINDOW_KEY, touched, fixed_partition=True)
 
         side_by_side(stats.sparkSession, [partial(write, s) for s in STATISTICS])
 
@@ -75,7 +76,7 @@ def recompute_windows(spark: SparkSession, layout: Layout, touched: Partitions)
     if touched.values == []:
         return
     silver = layout.silver.read_partitions(spark, touched)
-    replace_windows(layout, window_statistics(silver, layout.window, layout.numeric), touched)
+    replace_windows(layout, window_statistics(silver, layout.window, layout.numeric))
 
 
 def recompute_batch(layout: Layout, changes: DataFrame, batch_id: int) -> None:
@@ -100,29 +101,40 @@ def start_silver_and_gold(
     """
 
     def both(layout: Layout, readings: DataFrame, batch_id: int) -> None:
-        recompute_windows(readings.sparkSession, layout, store_batch(layout, readings, batch_id))
+        recompute_windows(readings.sparkSession, layout, store_batch(layout, readings, batch_id, announce=False))
 
     readings = readings_of(layout.bronze.read_stream(spark, **limits), layout)
     return _start(layout, readings, both, "silver", trigger)
 
 
+def partials_of(layout: Layout, readings: DataFrame, batch_id: int) -> DataFrame:
+    wide = pivot_readings(readings, layout.catalog, ("device_id", "timestampUtc"))
+    wide = wide.withColumn("event_time", instant("timestampUtc"))
+    partials = with_window_bucket(window_partials(wide, layout.window, layout.numeric), layout)
+    return partials.withColumn("bid", F.lit(batch_id).cast("bigint"))
+
+
+def gold_kept_by(spark: SparkSession, layout: Layout) -> str:
+    """How gold is kept, told by the checkpoints: ``recompute``, ``partials`` or ``native``."""
+    for name in ("native", "partials"):
+        if path_exists(spark, layout.checkpoint(f"gold_{name}")):
+            return name
+    return "recompute"
+
+
 def partials_batch(layout: Layout, readings: DataFrame, batch_id: int) -> None:
     """Add one batch of readings to the partials and refresh the windows it touches.
 
     The partials of a batch replace partition (bucket, batch), so a replay does not count twice.
     """
     spark = readings.sparkSession
-    wide = pivot_readings(readings, layout.catalog, ("device_id", "timestampUtc"))
-    wide = wide.withColumn("event_time", instant("timestampUtc"))
-    partials = with_window_bucket(window_partials(wide, layout.window, layout.numeric), layout)
-    partials = partials.withColumn("bid", F.lit(batch_id).cast("bigint"))
-    with computed_once(partials) as partials:
+    with computed_once(partials_of(layout, readings, batch_id)) as partials:
         touched = Partitions.of(partials, "window_bucket")
         if touched.values == []:
             return
-        layout.partials.overwrite_partitions(partials, touched)
+        layout.partials.overwrite_partitions(partials)
         stored = layout.partials.read_partitions(spark, touched)
-        replace_windows(layout, merge_partials(stored, layout.numeric), touched)
+        replace_windows(layout, merge_partials(stored, layout.numeric))
 
 
 def start_gold_partials(
@@ -142,21 +154,31 @@ def start_gold_native(
     layout: Layout,
     trigger: dict = DRAIN,
     distinct: bool = True,
+    state_partitions: int | None = None,
     **limits: str | int,
 ) -> StreamingQuery:
     """Windows in Spark's state, changed windows upserted after each batch.
 
     Reads bronze. Rows behind the watermark are dropped, and so is, with ``distinct``, a reading
-    that comes again within it. Where devices never repeat themselves, without ``distinct`` one
-    shuffle of all readings and its state are saved.
+    that comes again within it; of different values, any one stays. A null value never displaces a
+    reading. Where devices never repeat themselves, without ``distinct`` one shuffle of all readings
+    and its state are saved. The state has ``state_partitions`` (else those of the session) for the
+    life of the checkpoint; choose it at the first start.
     """
     bronze = layout.bronze.read_stream(spark, **limits)
     readings = valid_readings(explode_readings(bronze)).withColumn("event_time", instant("timestampUtc"))
     readings = readings.withWatermark("event_time", layout.watermark)
     if distinct:
-        readings = readings.dropDuplicatesWithinWatermark(["device_id", "metric", "timestampUtc"])
+        readings = readings.withColumn("missing", F.col("value").isNull())
+        readings = readings.dropDuplicatesWithinWatermark(["device_id", "metric", "timestampUtc", "missing"])
     stats = reading_window_statistics(readings, layout.window, layout.catalog)
-    return _start(layout, stats, native_batch, "gold_native", trigger, mode="update")
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    if state_partitions:
+        spark.conf.set(SHUFFLE_PARTITIONS, str(state_partitions))
+    try:
+        return _start(layout, stats, native_batch, "gold_native", trigger, mode="update")
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
 
 
 def _start(layout, frame, handle, name, trigger, mode="append") -> StreamingQuery:

@@ -25,13 +25,15 @@ def records_of(readings: DataFrame, layout: Layout) -> DataFrame:
     return whole_second_records(wide) if layout.whole_seconds else wide
 
 
-def store_batch(layout: Layout, readings: DataFrame, batch_id: int) -> Partitions:
+def store_batch(
+    layout: Layout, readings: DataFrame, batch_id: int, announce: bool = True
+) -> Partitions:
     """Take one batch of readings into silver and tell what it touched. Again changes nothing.
 
     1. The readings replace partition (bucket, batch), so a replay does not add them twice.
     2. Every touched bucket of silver is rebuilt from all its readings, so that the halves of a
        record that came in two batches meet. Other buckets are not read.
-    3. The touched buckets are announced to the gold stream, last, when silver is complete.
+    3. With ``announce`` the touched buckets are told to the gold stream, last, when silver is complete.
     """
     spark = readings.sparkSession
     numbered = readings.withColumn("bid", F.lit(batch_id).cast("bigint"))
@@ -39,10 +41,11 @@ def store_batch(layout: Layout, readings: DataFrame, batch_id: int) -> Partition
         touched = Partitions.of(batch, "event_bucket")
         if touched.values == []:
             return touched
-        layout.readings.overwrite_partitions(batch, touched)
+        layout.readings.overwrite_partitions(batch)
         stored = layout.readings.read_partitions(spark, touched)
-        layout.silver.overwrite_partitions(records_of(stored, layout), touched)
-        layout.changes.append(touched.frame.withColumn("bid", F.lit(batch_id)).coalesce(1))
+        layout.silver.overwrite_partitions(records_of(stored, layout))
+        if announce:
+            layout.changes.append(touched.frame.withColumn("bid", F.lit(batch_id)).coalesce(1))
         return touched
 
 

@@ -188,7 +188,8 @@ def test_lookups(spark):
     assert of_device(frame, 13).count() == of_device(frame, "13").count() == 2
     metrics = one_statistic(window_statistics(frame, "1 minute"), "avg")
     assert [r["device_id"] for r in ordered(metrics).collect()] == [2, 13]
-    report = {r["column_name"]: (r["data_type"], r["non_null"]) for r in schema_report(frame).collect()}
+    report = {r["column_name"]: (r["data_type"], r["non_null"]) for r in schema_report(frame, counts=True).collect()}
+    assert schema_report(frame).columns == ["position", "column_name", "data_type"]
     assert report["Wind_speed"] == ("double", 3)
     assert report["Humidity"] == ("double", 0)
 

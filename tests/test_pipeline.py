@@ -1,6 +1,7 @@
 """Streams, batch twins and replays over small landing folders."""
 
 import json
+import os
 import random
 
 import pytest
@@ -10,7 +11,6 @@ from millrace.catalog import STATISTICS, Layout
 from millrace.operators.health import gold_status, layer_status, processing_rate
 from millrace.plans.batch import all_bronze, backfill, gold_of, rebuild, register_views, silver_of
 from millrace.sources import tables
-from millrace.sources.tables import Partitions
 from millrace.streaming.bronze import start_bronze
 from millrace.streaming.gold import (
     recompute_batch,
@@ -231,11 +231,9 @@ def test_backfill_adds_what_is_missing_and_can_be_repeated(spark, folder_layout,
     assert gold_rows(spark, layout) == [(1, MINUTE, 2.0)]
 
 
-def test_many_buckets_go_the_unnamed_way(spark, folder_layout, tmp_path, monkeypatch):
+def test_many_buckets(spark, folder_layout, tmp_path, monkeypatch):
     layout, landing = folder_layout, tmp_path / "landing"
-    of = Partitions.of
-    monkeypatch.setattr(Partitions, "of", staticmethod(lambda f, c: of(f, c, 3)))
-    assert tables.MAX_NAMED_PARTITIONS > 3
+    monkeypatch.setattr(tables, "NAMES_AT_ONCE", 3)
     hours = [reading(at=MINUTE + h * 3_600_000, value=h) for h in range(8)]
     drop(landing, "a.json", hours)
     run(spark, layout, landing, start_silver, start_gold)
@@ -282,3 +280,53 @@ def test_layers_from_sql(spark, folder_layout, tmp_path):
     assert spark.sql("SELECT * FROM silver WHERE device_id = '13'").count() == 1
     rows = spark.sql("SELECT * FROM metrics_avg ORDER BY device_id").collect()
     assert [(r["device_id"], r["Wind_speed"]) for r in rows] == [(2, 3.0), (13, 1.0)]
+
+
+def test_old_and_nested_files_are_read(spark, folder_layout, tmp_path):
+    layout, landing = folder_layout, tmp_path / "landing"
+    drop(landing, "new.json", [reading(value=1)])
+    drop(landing / "deep", "old.json", [reading(at=MINUTE + 1, value=3)])
+    os.utime(landing / "deep" / "old.json", (1_600_000_000, 1_600_000_000))
+    start_bronze(spark, layout, str(landing), recursive=True).awaitTermination()
+    assert layout.bronze.read(spark).count() == 2
+    drop(landing, "older.json", [reading(at=MINUTE + 2, value=5)])
+    os.utime(landing / "older.json", (1_500_000_000, 1_500_000_000))
+    start_bronze(spark, layout, str(landing), recursive=True).awaitTermination()
+    assert layout.bronze.read(spark).count() == 3
+
+
+def test_backfill_and_rebuild_keep_partials_right(spark, folder_layout, tmp_path):
+    layout, landing = folder_layout, tmp_path / "landing"
+    drop(landing, "a.json", [reading(value=1), reading(at=MINUTE + 60_000, value=5)])
+    run(spark, layout, landing, start_gold_partials)
+    drop(tmp_path / "more", "b[1].json", [reading(at=MINUTE + 1, value=3)])
+    for _ in range(2):
+        backfill(spark, layout, str(tmp_path / "more"), load=1)
+        assert gold_rows(spark, layout) == [(1, MINUTE, 2.0), (1, MINUTE + 60_000, 5.0)]
+    rebuild(spark, layout)
+    assert gold_rows(spark, layout) == [(1, MINUTE, 2.0), (1, MINUTE + 60_000, 5.0)]
+    drop(landing, "c.json", [reading(at=MINUTE + 2, value=8)])
+    run(spark, layout, landing, start_gold_partials)
+    assert gold_rows(spark, layout) == [(1, MINUTE, 4.0), (1, MINUTE + 60_000, 5.0)]
+    assert layer_status(spark, layout).where("layer = 'Bronze'").first()[1] == 3
+    register_views(spark, layout)
+    assert spark.table("bronze").count() == 3
+
+
+def test_native_state_ignores_nulls_and_refuses_a_backfill(spark, folder_layout, tmp_path):
+    layout, landing = folder_layout, tmp_path / "landing"
+    drop(landing, "a.json", [reading(value=None), reading(value=10)])
+    start_bronze(spark, layout, str(landing)).awaitTermination()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    start_gold_native(spark, layout, state_partitions=2).awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert gold_rows(spark, layout) == [(1, MINUTE, 10.0)]
+    with pytest.raises(ValueError):
+        backfill(spark, layout, str(landing), load=1)
+
+
+def test_the_combined_stream_announces_nothing(spark, folder_layout, tmp_path):
+    layout, landing = folder_layout, tmp_path / "landing"
+    drop(landing, "a.json", [reading()])
+    run(spark, layout, landing, start_silver_and_gold)
+    assert not layout.changes.exists(spark)

@@ -97,15 +97,17 @@ def test_pending_files_by_path_and_by_name(spark, two_folders):
     assert names(pending_files(spark, folder, held, by="name")) == ["b/c/y.json"]
 
 
-@pytest.mark.parametrize("limit", [10, 1])
-def test_pending_rows_with_and_without_a_named_list(spark, two_folders, limit):
+def test_pending_rows(spark, two_folders):
     folder = str(two_folders)
     held = landing_batch(spark, f"{folder}/a", LANDING_SCHEMA)
-    rows = pending_rows(spark, folder, LANDING_SCHEMA, held, limit=limit)
+    rows = pending_rows(spark, folder, LANDING_SCHEMA, held)
     assert rows.columns == ["values", "source_file", "ingestion_time"]
     assert sorted(names(rows)) == ["b/c/y.json", "b/c/y.json", "b/x.json"]
     everything = landing_batch(spark, folder, LANDING_SCHEMA, recursive=True)
-    assert pending_rows(spark, folder, LANDING_SCHEMA, everything, limit=limit).count() == 0
+    none = pending_rows(spark, folder, LANDING_SCHEMA, everything)
+    assert none.count() == 0
+    assert none.columns == rows.columns
+    assert "json" not in none._jdf.queryExecution().toString().lower()
 
 
 SCHEMA = (
@@ -155,9 +157,7 @@ def test_upsert_of_an_empty_source(spark, dataset):
 
 
 def test_more_partitions_than_are_named(spark, dataset, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_NAMED_PARTITIONS", 2)
-    of = Partitions.of
-    monkeypatch.setattr(Partitions, "of", staticmethod(lambda f, c: of(f, c, 2)))
+    monkeypatch.setattr(tables, "NAMES_AT_ONCE", 2)
     rows = [(k, 0, float(k), "a", f"p{k}") for k in range(6)]
     upsert(dataset, frame(spark, *rows), ["k", "start"])
     upsert(dataset, frame(spark, *[(k, 0, -1.0, "b", f"p{k}") for k in range(4)]), ["k", "start"])
@@ -186,11 +186,10 @@ def test_partition_names_that_a_path_changes(spark, dataset):
     assert content(spark, dataset) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("limit", [10, 1])
-def test_rows_without_partition_are_refused(spark, limit):
+def test_rows_without_partition_are_refused(spark):
     rows = frame(spark, (1, 0, 1.0, "a", None), (2, 0, 1.0, "a", "p"), (2, 0, 1.0, "a", "q"))
     with pytest.raises(ValueError):
-        Partitions.of(rows, "part", limit)
+        Partitions.of(rows, "part")
 
 
 class Session:
@@ -228,3 +227,34 @@ def test_only_named_partitions_are_listed(spark, tmp_path):
     assert dataset.read_partitions(spark, Partitions(None, [])).count() == 0
 
 
+
+
+def test_upsert_refuses_repeated_and_moved_keys(spark, dataset):
+    upsert(dataset, frame(spark, (1, 0, 1.0, "a", "p")), ["k", "start"])
+    with pytest.raises(ValueError, match="more than once"):
+        upsert(dataset, frame(spark, (2, 0, 1.0, "a", "p"), (2, 0, 2.0, "b", "p")), ["k", "start"])
+    with pytest.raises(ValueError, match="another partition"):
+        upsert(dataset, frame(spark, (1, 0, 2.0, "a", "q")), ["k", "start"])
+    assert content(spark, dataset) == [(1, 0, 1.0, "a", "p")]
+
+
+def test_multi_line_files(spark, tmp_path):
+    (tmp_path / "one.json").write_text(json.dumps({"values": "[]", "site": 1}, indent=2))
+    (tmp_path / "two.json").write_text(json.dumps([{"extra": 1}, {"values": "[]"}], indent=2))
+    schema = infer_schema(spark, str(tmp_path), multi_line=True)
+    assert schema.names == ["extra", "site", "values"]
+    none = landing_batch(spark, str(tmp_path), schema, multi_line=True).where("false")
+    assert pending_rows(spark, str(tmp_path), schema, none, multi_line=True).count() == 3
+
+
+def test_a_folder_without_names_has_no_schema(spark, tmp_path):
+    (tmp_path / "bad.json").write_text("not json")
+    with pytest.raises(ValueError):
+        infer_schema(spark, str(tmp_path))
+
+
+def test_many_tasks_write_few_files(spark, dataset, tmp_path):
+    rows = spark.range(400).selectExpr("id k", "0L start", "1D v", "'a' s", "concat('p', id % 4) part").repartition(40)
+    dataset.overwrite_partitions(rows.toDF(*dataset.schema.names))
+    if dataset.is_path:
+        assert len(dataset.read(spark).inputFiles()) <= 8
