@@ -1,0 +1,43 @@
+"""The stages of the corpus pipeline, each against plain Python on what it is given."""
+
+from collections import Counter
+
+import corpus_pipeline
+from fixtures import documents, near_classes, stored, words
+
+from millrace.llm.shared import written
+
+
+def test_stages(spark, tmp_path):
+    docs = written(documents(spark), "docs")
+    folder = stored(spark, tmp_path, documents=docs)
+    stages = dict(corpus_pipeline.STAGES)
+
+    known = written(stages["language_id"](spark, docs, folder), "a")
+    assert known.dtypes == docs.dtypes
+    letters = [r for r in docs.collect() if r["text"] and any(map(str.isalpha, r["text"]))]
+    assert 0.97 * len(letters) <= known.count() <= len(letters)
+
+    clean = written(stages["line_dedup"](spark, known, folder), "b")
+    assert clean.dtypes == docs.dtypes
+    assert all(words(r["text"]) for r in clean.collect())
+
+    one = written(stages["ngram_jaccard"](spark, clean, folder), "c")
+    assert one.dtypes == docs.dtypes
+    rows = [(r["doc_id"], r["text"]) for r in clean.collect()]
+    classes = {(c, None if c is not None else t) for (_, t), (c, _) in zip(rows, near_classes(rows), strict=True)}
+    kept = [(r["doc_id"], r["text"]) for r in one.collect()]
+    assert len(kept) == len(classes)
+    assert {d for d, _ in kept if d is not None} == {c for c, _ in classes if c is not None}
+
+    mixed = written(stages["mix_sources"](spark, one, folder), "d")
+    assert mixed.dtypes == docs.dtypes
+    assert max(Counter((r["doc_id"], r["text"]) for r in mixed.collect()).values()) <= 3
+
+    pieces = stages["pack_windows"](spark, mixed, folder)
+    assert pieces.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
+
+
+def test_an_empty_table_passes(spark, tmp_path):
+    folder = stored(spark, tmp_path, documents=documents(spark).where("false"))
+    assert corpus_pipeline.run(spark, folder).count() == 0
