@@ -183,7 +183,8 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> list[str]:
     if not sizes["bad"] or not sizes["clean"]:
         return []
     bad, clean = F.col("bad") / float(sizes["bad"]), F.col("clean") / float(sizes["clean"])
-    few = max(3.0, 0.004 * sizes["bad"])
+    # Fewer documents are often copies of one text.
+    few = max(3.0, 0.01 * sizes["bad"])
     # Shorter entries first: a stem speaks for the words that it begins.
     rows = (
         counted.where((F.col("term") != "") & (F.col("bad") >= few) & (clean * 50 < bad))
