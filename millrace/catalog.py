@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-from millrace.functions.times import GRAINS, interval_seconds
+from millrace.functions.times import grain_seconds, interval_seconds
 from millrace.sources.tables import Dataset
 
 
@@ -89,7 +89,7 @@ class Layout:
     ``root`` is a folder on storage that every executor sees; checkpoints always live there. With
     ``database`` the layers are catalog tables of that database, otherwise Parquet folders in
     ``root``. ``grain`` is the event-time span of one storage partition: the unit that a late row
-    causes to be rebuilt. ``whole_seconds`` is the compatibility form of silver: times cut to
+    causes to be rebuilt; a multiple of ``window``. ``whole_seconds`` is the compatibility form of silver: times cut to
     seconds and one record per device and second. ``order_by`` names the bronze columns that say
     which of two readings of the same device, metric and instant came first; the position in the
     envelope follows them.
@@ -107,7 +107,7 @@ class Layout:
     numeric: list[str] = field(init=False, compare=False)
 
     def __post_init__(self):
-        if GRAINS[self.grain] % interval_seconds(self.window):
+        if grain_seconds(self.grain) % interval_seconds(self.window):
             raise ValueError(f"a {self.grain} partition does not hold whole windows of {self.window}")
         object.__setattr__(self, "numeric", numeric_columns(self.silver_schema))
 

@@ -23,6 +23,15 @@ def interval_seconds(text: str) -> int:
     return int(count) * UNIT_SECONDS[unit.rstrip("s")]
 
 
+def grain_seconds(grain: str) -> int:
+    """Seconds in one storage partition: a name of GRAINS, or whole minutes that divide an hour, such
+    as ``5 minutes``."""
+    seconds = GRAINS[grain] if grain in GRAINS else interval_seconds(grain)
+    if seconds not in GRAINS.values() and (seconds <= 0 or seconds % 60 or 3_600 % seconds):
+        raise ValueError(f"{grain} neither has a name nor divides an hour into whole minutes")
+    return seconds
+
+
 def instant(millis: str | Column) -> Column:
     """Epoch milliseconds to a timestamp, keeping the milliseconds."""
     return F.timestamp_millis(millis)
@@ -40,19 +49,20 @@ def in_range(millis: Column) -> Column:
 
 def bucket_of_millis(millis: Column, grain: str) -> Column:
     """Name of the storage partition of an instant, from its start in UTC: ``2024-01-31``,
-    ``2024-01-31T23`` or, for quarters of an hour, ``2024-01-31T23-45``. Names sort by time."""
+    ``2024-01-31T23`` or, below an hour, ``2024-01-31T23-45``. Names sort by time."""
+    seconds = grain_seconds(grain)
 
     def part(span: int, count: int, step: int = 1) -> Column:
         within = F.pmod(F.floor(millis / span), F.lit(count)) * step
         return F.lpad(within.cast("string"), 2, "0")
 
     day = F.date_from_unix_date(F.floor(millis / 86_400_000).cast("int")).cast("string")
-    if grain == "day":
+    if seconds == 86_400:
         return day
     hour = F.concat_ws("T", day, part(3_600_000, 24))
-    if grain == "hour":
+    if seconds == 3_600:
         return hour
-    return F.concat_ws("-", hour, part(900_000, 4, 15))
+    return F.concat_ws("-", hour, part(seconds * 1_000, 3_600 // seconds, seconds // 60))
 
 
 def bucket_of_instant(timestamp: Column, grain: str) -> Column:

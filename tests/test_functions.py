@@ -54,7 +54,7 @@ def test_autumn_clock_change_keeps_both_instants(new_york):
     assert [r[0] for r in back.collect()] == [first, second]
 
 
-@pytest.mark.parametrize("grain,expected", [("day", "2024-11-03"), ("hour", "2024-11-03T05"), ("quarter", "2024-11-03T05-30")])
+@pytest.mark.parametrize("grain,expected", [("day", "2024-11-03"), ("hour", "2024-11-03T05"), ("quarter", "2024-11-03T05-30"), ("20 minutes", "2024-11-03T05-20")])
 def test_buckets_do_not_depend_on_the_zone(new_york, grain, expected):
     row = millis(new_york, 1730611800000).select(
         bucket_of_millis(F.col("ms"), grain).alias("a"), bucket_of_instant(instant("ms"), grain).alias("b")
@@ -63,7 +63,7 @@ def test_buckets_do_not_depend_on_the_zone(new_york, grain, expected):
 
 
 def test_bucket_before_the_epoch(spark):
-    for grain, name in [("hour", "1969-12-31T23"), ("quarter", "1969-12-31T23-45")]:
+    for grain, name in [("hour", "1969-12-31T23"), ("quarter", "1969-12-31T23-45"), ("5 minutes", "1969-12-31T23-55"), ("1 minute", "1969-12-31T23-59")]:
         assert millis(spark, -1).select(bucket_of_millis(F.col("ms"), grain)).first()[0] == name
 
 
@@ -140,3 +140,9 @@ def test_numeric_rule():
 def test_windows_must_fit_the_partition():
     with pytest.raises(ValueError):
         Layout("/nowhere", grain="hour", window="7 minutes")
+
+
+@pytest.mark.parametrize("grain", ["7 minutes", "90 seconds", "0 minutes", "2 hours"])
+def test_grains_divide_the_hour(grain):
+    with pytest.raises(ValueError):
+        Layout("/nowhere", grain=grain, window="1 second")

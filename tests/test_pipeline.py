@@ -180,7 +180,7 @@ def random_envelopes(seed, count=60):
     return out
 
 
-@pytest.mark.parametrize("parts,grain", [(1, "hour"), (3, "quarter")])
+@pytest.mark.parametrize("parts,grain", [(1, "hour"), (3, "quarter"), (2, "5 minutes")])
 def test_stream_equals_batch(spark, tmp_path, parts, grain):
     layout, landing = Layout(root=str(tmp_path / "store"), grain=grain), tmp_path / "landing"
     envelopes = random_envelopes(parts)
