@@ -119,6 +119,29 @@ def local_stars(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
+def sketch_groups(x: np.ndarray, block: np.ndarray, across: bool, least: int) -> np.ndarray:
+    """The smallest member of each one's component, where sketches with ``least`` equal bytes are linked.
+
+    across: only members of different blocks are. Each member is compared with those that nothing has reached yet; so
+    a group of near copies, which its first member reaches at once, costs little more than one pass.
+    """
+    label = np.arange(len(x))
+    waiting = np.arange(len(x))
+    while len(waiting):
+        seed, waiting = waiting[0], waiting[1:]
+        reached = np.array([seed])
+        while len(reached) and len(waiting):
+            node, reached = reached[0], reached[1:]
+            linked = np.count_nonzero(x[waiting] == x[node], 1) >= least
+            if across:
+                linked &= block[waiting] != block[node]
+            if linked.any():
+                found, waiting = waiting[linked], waiting[~linked]
+                label[found] = seed
+                reached = np.r_[reached, found]
+    return label
+
+
 def units(rows: pd.DataFrame, names: list[str]):
     """The rows of each unit of a batch, with whether it is a pair of two blocks."""
     rows = rows.sort_values([*names, "block"], kind="stable")
@@ -156,13 +179,7 @@ def candidate_links(nodes: DataFrame, threshold: float = THRESHOLD, recall: floa
         for unit in units(rows, ["bucket", "i", "j"]):
             keys, block = unit["key"].to_numpy(), unit["block"].to_numpy()
             x = np.frombuffer(b"".join(unit["sketch"]), np.uint8).reshape(len(unit), -1)
-            linked = np.zeros((len(x), len(x)), bool)
-            step = max(1, (1 << 24) // (x.size or 1))
-            for s in range(0, len(x), step):
-                linked[s : s + step] = (x[s : s + step, None] == x[None]).sum(2) >= least
-            if unit["i"].iloc[0] != unit["j"].iloc[0]:
-                linked &= block[:, None] != block[None]
-            label = local_stars(linked)
+            label = sketch_groups(x, block, unit["i"].iloc[0] != unit["j"].iloc[0], least)
             far = np.flatnonzero(label != np.arange(len(label)))
             a.append(keys[far])
             b.append(keys[label[far]])
