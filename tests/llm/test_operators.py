@@ -271,6 +271,18 @@ def test_near_duplicates(docs, rows):
     assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
 
 
+def test_groups_of_sketches():
+    """Components by reach are those of the whole matrix of links, also between two blocks."""
+    random = np.random.default_rng(1)
+    for i in range(200):
+        n, least = random.integers(1, 60), random.integers(7, 13)
+        x, block = random.integers(0, 2, (n, 12)).astype(np.uint8), random.integers(0, 2, n)
+        linked = (x[:, None] == x[None]).sum(2) >= least
+        if i % 2:
+            linked &= block[:, None] != block[None]
+        assert (neardup.sketch_groups(x, block, bool(i % 2), least) == neardup.local_stars(linked)).all()
+
+
 def test_near_duplicates_in_blocks(spark, monkeypatch):
     """A group larger than a block: every link is counted."""
     for module, name, value in ((neardup, "BLOCK_MEMBERS", 8), (neardup, "BLOCK_WORDS", 600), (neardup, "FREQUENT", 3)):
