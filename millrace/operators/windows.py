@@ -100,8 +100,8 @@ def window_partials(wide: DataFrame, window: str, names: list[str]) -> DataFrame
     )
 
 
-def merge_partials(partials: DataFrame, names: list[str]) -> DataFrame:
-    """Combine the partials of each window into its statistics.
+def combine_partials(partials: DataFrame, names: list[str]) -> DataFrame:
+    """One partial per window from all of its partials; they combine on as before.
 
     The deviations are taken from the joint mean, found first over the window's partials, which
     stays accurate where a difference of squares would cancel. Window function and aggregate share
@@ -118,20 +118,26 @@ def merge_partials(partials: DataFrame, names: list[str]) -> DataFrame:
         shift = F.col(f"{n}_mean") - F.col(f"{n}_joint")
         aggregates += [
             F.sum(f"{n}_n").alias(f"{n}_n"),
-            F.max(f"{n}_joint").alias(f"{n}_avg"),
+            F.max(f"{n}_joint").alias(f"{n}_mean"),
             F.sum(F.col(f"{n}_m2") + F.col(f"{n}_n") * shift * shift).alias(f"{n}_m2"),
             F.min(f"{n}_min").alias(f"{n}_min"),
             F.max(f"{n}_max").alias(f"{n}_max"),
         ]
-    merged = with_joint.groupBy(*WINDOW_KEYS).agg(*aggregates)
+    return with_joint.groupBy(*WINDOW_KEYS).agg(*aggregates)
+
+
+def merge_partials(partials: DataFrame, names: list[str]) -> DataFrame:
+    """Combine the partials of each window into its statistics."""
 
     def column(n: str, s: str) -> Column:
+        if s == "avg":
+            return F.col(f"{n}_mean").alias(f"{n}_avg")
         if s != "stddev":
             return F.col(f"{n}_{s}")
         freedom = F.col(f"{n}_n") - 1
         return F.sqrt(F.col(f"{n}_m2") / F.when(freedom > 0, freedom)).alias(f"{n}_stddev")
 
-    return merged.select(
+    return combine_partials(partials, names).select(
         *WINDOW_KEYS,
         *[column(n, s) for s in STATISTICS for n in names],
         F.current_timestamp().alias("inserted_at"),

@@ -18,6 +18,10 @@ PLAIN_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 # Names in one pattern when partition folders are looked up.
 NAMES_AT_ONCE = 1_000
 
+# Batch numbers from here down are compactions: FOLDED - n stands for the batches 0 to n of its partition.
+FOLDED = -(10**12)
+BATCH = "bid"
+
 DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
 # Held while a table is created or the mode of a session is changed, not while rows are written.
 _MODE_LOCK = Lock()
@@ -56,6 +60,19 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found or []]
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def superseded(batches: list[int]) -> set[int]:
+    """Of the batch numbers of one partition, those whose rows its latest compaction holds."""
+    latest = min((n for n in batches if n <= FOLDED), default=None)
+    if latest is None:
+        return set()
+    return {n for n in batches if n != latest and (n <= FOLDED or 0 <= n <= FOLDED - latest)}
+
+
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
@@ -74,6 +91,19 @@ class Dataset:
     def is_path(self) -> bool:
         return "/" in self.location
 
+    @property
+    def is_batched(self) -> bool:
+        """Whether the rows of a partition are kept by the batch that they came in."""
+        return self.partition_by[1:] == (BATCH,)
+
+    def batch_folders(self, spark: SparkSession, names: str = "*") -> dict[str, dict[int, str]]:
+        """The folder of each batch, by partition folder; from names alone, no file is opened."""
+        found: dict[str, dict[int, str]] = {}
+        for path in matching_paths(spark, f"{self.location}/{self.partition_by[0]}={names}/{BATCH}=*"):
+            partition, _, batch = path.rpartition(f"/{BATCH}=")
+            found.setdefault(partition, {})[int(batch)] = path
+        return found
+
     def exists(self, spark: SparkSession) -> bool:
         if not self.is_path:
             return spark.catalog.tableExists(self.location)
@@ -110,7 +140,12 @@ class Dataset:
         folders = []
         for i in range(0, len(partitions.values), NAMES_AT_ONCE):
             names = ",".join(partitions.values[i : i + NAMES_AT_ONCE])
-            folders += matching_paths(spark, f"{self.location}/{key}={{{names}}}")
+            if self.is_batched:
+                for batches in self.batch_folders(spark, f"{{{names}}}").values():
+                    old = superseded(list(batches))
+                    folders += [path for n, path in batches.items() if n not in old]
+            else:
+                folders += matching_paths(spark, f"{self.location}/{key}={{{names}}}")
         if not folders:
             return self.empty(spark)
         return spark.read.schema(self.schema).option("basePath", self.location).parquet(*folders)

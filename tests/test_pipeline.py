@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import STATISTICS, Layout
 from millrace.operators.health import gold_status, layer_status, processing_rate
+from millrace.plans import compaction
 from millrace.plans.batch import all_bronze, backfill, gold_of, rebuild, register_views, silver_of
 from millrace.sources import tables
 from millrace.streaming.bronze import start_bronze
@@ -330,3 +331,41 @@ def test_the_combined_stream_announces_nothing(spark, folder_layout, tmp_path):
     drop(landing, "a.json", [reading()])
     run(spark, layout, landing, start_silver_and_gold)
     assert not layout.changes.exists(spark)
+
+
+def test_compaction_changes_no_result(spark, folder_layout, tmp_path, monkeypatch):
+    """Several rounds, one of them cut off before it deletes, with batches and late rows between them."""
+    layout, landing = folder_layout, tmp_path / "landing"
+    values = []
+
+    def add(value):
+        values.append(value)
+        drop(landing, f"{len(values)}.json", [reading(at=MINUTE + len(values), value=value)])
+        run(spark, layout, landing, start_silver, start_gold_partials)
+        average = sum(values) / len(values)
+        assert gold_rows(spark, layout) == [(1, MINUTE, pytest.approx(average))]
+        assert len(silver_rows(spark, layout)) == len(values)
+
+    def batches(dataset):
+        return [sorted(b) for b in dataset.batch_folders(spark).values()]
+
+    for value in (1, 2, 30):
+        add(value)
+    assert compaction.compact(spark, layout, least=2) == {"readings": 1, "window_partials": 1}
+    folded = tables.FOLDED
+    assert batches(layout.readings) == batches(layout.partials) == [[folded - 1, 2]]
+    assert layout.partials.read(spark).where(f"bid = {folded - 1}").count() == 1
+    assert compaction.compact(spark, layout, least=2) == {"readings": 0, "window_partials": 0}
+    add(7)
+    add(11)
+    with monkeypatch.context() as m:
+        m.setattr(compaction, "delete_folder", lambda spark, path: None)
+        compaction.compact(spark, layout, least=2)
+    assert batches(layout.partials) == [[folded - 3, folded - 1, 2, 3, 4]]
+    add(13)
+    compaction.compact(spark, layout, least=9)
+    assert batches(layout.partials) == [[folded - 3, 4, 5]]
+    add(17)
+    rebuild(spark, layout)
+    assert gold_rows(spark, layout) == [(1, MINUTE, pytest.approx(sum(values) / len(values)))]
+    assert batches(layout.partials) == [[-1]]
