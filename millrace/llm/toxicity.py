@@ -185,15 +185,17 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> list[str]:
     bad, clean = F.col("bad") / float(sizes["bad"]), F.col("clean") / float(sizes["clean"])
     # Fewer documents are often copies of one text.
     few = max(3.0, 0.01 * sizes["bad"])
-    # Shorter entries first: a stem speaks for the words that it begins.
+    # Shorter entries first: a stem speaks for the words that it begins, as far as they are spelled right.
     rows = (
         counted.where((F.col("term") != "") & (F.col("bad") >= few) & (clean * 50 < bad))
         .orderBy(F.desc("bad"), F.length("term"), "term").limit(4 * entries).toPandas()
     )
     kept: dict[str, None] = {}
     for term in sorted(rows["term"], key=lambda t: (len(t), t)):
-        stems = [f"{term[:k]}*" for k in STEMS if k < len(term.rstrip("*"))]
-        if not any(s in kept for s in stems):
+        word, stem = term.rstrip("*"), term.endswith("*")
+        shorter = [f"{word[:k]}*" for k in STEMS if k < len(word) + (not stem)]
+        # A stem without edits cannot stand for an entry that is allowed some.
+        if edits_allowed(len(word), stem) or not any(s in kept for s in shorter):
             kept[term] = None
     by_count = dict(zip(rows["term"], rows["bad"], strict=True))
     return sorted(kept, key=lambda t: (-by_count[t], t))[:entries]

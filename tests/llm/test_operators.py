@@ -85,6 +85,17 @@ def test_automaton_finds_what_edit_distance_finds():
         assert not near or automaton.alive(text[:4])
 
 
+def test_learned_words_keep_their_edits(spark):
+    """Stems stand beside the words they begin, so that a misspelling in the first letters is found."""
+    insults = ["idiot", "worthless", "moron", "disgusting"]
+    data = [(f"text{i} goes on like this you {insults[i % 4]}", True) for i in range(40)] + [(f"text{i} is fine", False) for i in range(80)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(data, "text string, toxic boolean"))
+    automaton = toxicity.Automaton(lexicon)
+    assert set(insults) <= set(lexicon) and "idio*" in lexicon
+    assert [automaton.match(w) for w in ("idiotic", "1diot", "id1ot", "mooron", "w0rthless", "dsgusting")] == [0, 1, 1, 1, 1, 1]
+    assert toxicity.features("such a 1diot", automaton)[toxicity.FEATURES.index("near")] > 0
+
+
 def test_quotation_counts_apart_from_abuse():
     automaton = toxicity.Automaton(["moron"])
     bare = dict(zip(toxicity.FEATURES, toxicity.features("you moron go away", automaton), strict=True))
