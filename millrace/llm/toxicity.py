@@ -13,6 +13,7 @@ Several labels of a document: toxic if any says so. Repeated rows are scored ali
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,6 +28,12 @@ from millrace.llm.shared import bounded_batches, doc_crc, table
 SAMPLE = 8_000
 #: At most so many lexicon entries, the strongest first.
 ENTRIES = 2_000
+#: Different toxic texts that an entry stands in at least, and the lower bound of its log-odds (at so many deviations).
+LEAST_TEXTS = 3
+LEAST_ODDS = 1.0
+CERTAINTY = 1.64
+#: Texts of fewer words, which share phrases without being copies, are told apart by all their words.
+SHORT = 50
 STEMS = (4, 5, 6)
 WINDOW = 8
 TOKEN = re.compile(r"[\w@$*]+")
@@ -164,32 +171,60 @@ def terms(text: str) -> set[str]:
     return words | {f"{w[:k]}*" for w in words for k in STEMS if len(w) > k}
 
 
+def fingerprint(text: str) -> int:
+    """The least hash of a text's runs of five words: most near copies of a text share it. Short texts stand for themselves."""
+    words = TOKEN.findall(text.lower())
+    size = 5 if len(words) >= SHORT else len(words)
+    return min(zlib.crc32(" ".join(words[i : i + size]).encode("utf-8", "replace")) for i in range(len(words) - size + 1))
+
+
 def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> list[str]:
-    """Words and stems that stand in toxic documents far more often. sample: text, toxic (boolean)."""
+    """Words and stems that stand in toxic texts far more often. sample: text, toxic (boolean).
+
+    Near copies count as one text. A term is taken by the lower bound of its smoothed log-odds, so that rare terms
+    are learned and words that clean texts quote now and then stay for the context to weigh; stems must be all but clean.
+    """
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(print=[fingerprint(t) for t in batch["text"]])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = (Counter(), Counter())
-        sizes = [0, 0]
+        found, sizes = (Counter(), Counter()), [0, 0]
+        last, together = None, set()
         for batch in batches:
-            for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                found[int(toxic)].update(terms(text))
-                sizes[int(toxic)] += 1
+            for text, toxic, mark in zip(batch["text"], batch["toxic"], batch["print"], strict=True):
+                if (mark, toxic) != last:
+                    if last:
+                        found[int(last[1])].update(together)
+                    last, together = (mark, toxic), set()
+                    sizes[int(toxic)] += 1
+                together |= terms(text)
+        if last:
+            found[int(last[1])].update(together)
         found[0][""], found[1][""] = sizes
         names = list(found[0].keys() | found[1].keys())
         yield pd.DataFrame({"term": names, "clean": [found[0][t] for t in names], "bad": [found[1][t] for t in names]})
 
-    counted = sample.mapInPandas(count, "term string, clean long, bad long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
-    sizes = sample.agg(F.count_if("toxic").alias("bad"), F.count_if(~F.col("toxic")).alias("clean")).first()
-    if not sizes["bad"] or not sizes["clean"]:
+    marked = sample.select("text", "toxic").mapInPandas(mark, "text string, toxic boolean, print long")
+    marked = marked.repartition("print").sortWithinPartitions("print", "toxic")
+    counted = marked.mapInPandas(count, "term string, clean long, bad long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
+    counted = counted.where((F.col("bad") >= LEAST_TEXTS) | (F.col("term") == "")).persist()
+    sizes = counted.where("term = ''").first()
+    if not sizes or not sizes["bad"] or not sizes["clean"]:
+        counted.unpersist()
         return []
-    bad, clean = F.col("bad") / float(sizes["bad"]), F.col("clean") / float(sizes["clean"])
-    # Fewer documents are often copies of one text.
-    few = max(3.0, 0.01 * sizes["bad"])
+    bad, clean = F.col("bad") + 0.5, F.col("clean") + 0.5
+    odds = F.log(bad / (sizes["bad"] + 1.0 - bad)) - F.log(clean / (sizes["clean"] + 1.0 - clean))
+    sure = F.round(odds - CERTAINTY * F.sqrt(1 / bad + 1 / clean), 9)
+    unclean = F.col("clean") / float(sizes["clean"]) * 50 >= F.col("bad") / float(sizes["bad"])
     # Shorter entries first: a stem speaks for the words that it begins, as far as they are spelled right.
     rows = (
-        counted.where((F.col("term") != "") & (F.col("bad") >= few) & (clean * 50 < bad))
-        .orderBy(F.desc("bad"), F.length("term"), "term").limit(4 * entries).toPandas()
+        counted.where((F.col("term") != "") & (F.col("bad") >= LEAST_TEXTS)).withColumn("sure", sure)
+        .where((F.col("sure") >= LEAST_ODDS) & ~(F.col("term").endswith("*") & unclean))
+        .orderBy(F.desc("sure"), F.length("term"), "term").limit(4 * entries).toPandas()
     )
+    counted.unpersist()
     kept: dict[str, None] = {}
     for term in sorted(rows["term"], key=lambda t: (len(t), t)):
         word, stem = term.rstrip("*"), term.endswith("*")
@@ -197,8 +232,8 @@ def learn_lexicon(sample: DataFrame, entries: int = ENTRIES) -> list[str]:
         # A stem without edits cannot stand for an entry that is allowed some.
         if edits_allowed(len(word), stem) or not any(s in kept for s in shorter):
             kept[term] = None
-    by_count = dict(zip(rows["term"], rows["bad"], strict=True))
-    return sorted(kept, key=lambda t: (-by_count[t], t))[:entries]
+    by_odds = dict(zip(rows["term"], rows["sure"], strict=True))
+    return sorted(kept, key=lambda t: (-by_odds[t], t))[:entries]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> np.ndarray:

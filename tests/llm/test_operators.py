@@ -96,6 +96,17 @@ def test_learned_words_keep_their_edits(spark):
     assert toxicity.features("such a 1diot", automaton)[toxicity.FEATURES.index("near")] > 0
 
 
+def test_rare_and_quoted_terms_are_learned(spark):
+    """A slur in 8 of 1000 toxic texts, and one that clean texts quote too; not a word of copies of one text."""
+    own = lambda kind, i: " ".join(f"{kind}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{i // 676}{c}" for c in "abcdef")
+    data = [(f"{own('t', i)} you {'scumbag' if i < 8 else 'clown' if i < 200 else 'trash'}", True) for i in range(1000)]
+    data += [(f"{own('c', i)} he said clown" if i < 60 else own("c", i), False) for i in range(3000)]
+    data += [(f"{' '.join(f'long{i}' for i in range(60))} copied version{i}", True) for i in range(60)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(data, "text string, toxic boolean"))
+    assert {"scumbag", "clown", "trash"} <= set(lexicon)
+    assert not any(t.startswith("copi") for t in lexicon)
+
+
 def test_quotation_counts_apart_from_abuse():
     automaton = toxicity.Automaton(["moron"])
     bare = dict(zip(toxicity.FEATURES, toxicity.features("you moron go away", automaton), strict=True))
