@@ -25,7 +25,10 @@ RULES = (
 )
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ROUNDS = 10
+#: Summed change of all scores over ROUNDS rounds, up to which they count as settled.
+TOLERANCE = 1e-6
+#: Rounds between two looks at the change.
+ROUNDS = 3
 DAMPING = 0.85
 THRESHOLD = 1.0
 
@@ -59,26 +62,36 @@ def rule_verdict(rule: Column, rules=RULES) -> Column:
     return verdict
 
 
-def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank as (host, score). edges: src, dst, weight; seeds: host, seed (adding up to 1, or none).
 
     What reaches a host without links is lost; so scores add up to at most 1, which both sides share alike.
-    Every few rounds the scores are written, so that the plan stays short.
+    It goes on until the scores are settled and no more hosts are reached, however long the chains are.
+    Every few rounds the scores are written and held against those written before, so that the plan stays short.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("all"))
     moves = written(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("all")).alias("share")), "moves")
     score = seeds.select("host", F.col("seed").alias("score"))
     if moves.isEmpty() or seeds.isEmpty():
         return score
-    rest = seeds.select("host", ((1 - damping) * F.col("seed")).alias("score"))
-    for i in range(rounds):
-        moved = moves.join(score, moves.src == score.host).select(
-            F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score")
-        )
-        score = moved.unionAll(rest).groupBy("host").agg(F.sum("score").alias("score"))
-        if i % 3 == 2:
-            score = written(score, "scores")
-    return score
+    rest = written(seeds.select("host", ((1 - damping) * F.col("seed")).alias("score")), "seeds")
+    score = written(score, "scores")
+    while True:
+        before = score
+        for _ in range(ROUNDS):
+            moved = moves.join(score, moves.src == score.host).select(
+                F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score")
+            )
+            score = moved.unionAll(rest).groupBy("host").agg(F.sum("score").alias("score"))
+        score = written(score, "scores")
+        both = score.join(before.select("host", F.col("score").alias("old")), "host", "full")
+        change = both.agg(
+            F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))).alias("sum"),
+            # A host with a score below what a double holds ends a chain.
+            F.count_if(F.col("old").isNull() & (F.col("score") > 0)).alias("new"),
+        ).first()
+        if change["sum"] <= tolerance and not change["new"]:
+            return score
 
 
 def host_links(pages: DataFrame) -> DataFrame:

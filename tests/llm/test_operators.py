@@ -287,6 +287,16 @@ def test_url_rules_and_links(spark):
     assert found[6]["trust"] > 0
 
 
+def test_distrust_goes_down_long_chains_and_settles_in_cycles(spark):
+    chain = [(f"h{i}", f"h{i + 1}", 1.0) for i in range(14)]
+    cycle = [("a", "b", 1.0), ("b", "c", 1.0), ("c", "a", 1.0)]
+    edges = spark.createDataFrame(chain + cycle, "src string, dst string, weight double")
+    seeds = spark.createDataFrame([("h0", 0.5), ("a", 0.5)], "host string, seed double")
+    found = {r["host"]: r["score"] for r in urls.spread(edges, seeds).collect()}
+    assert [found[f"h{i}"] for i in range(15)] == pytest.approx([0.075 * 0.85**i for i in range(15)])
+    assert [found[x] for x in "abc"] == pytest.approx([0.075 * 0.85**i / (1 - 0.85**3) for i in range(3)], abs=1e-5)
+
+
 def test_near_duplicates(docs, rows):
     found = neardup.near_duplicates(docs.select("doc_id", "text")).select("doc_id", "class_id", "n_links").collect()
     expected = [(d, c, n) for (d, _), (c, n) in zip(rows, near_classes(rows), strict=True)]
