@@ -34,10 +34,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the smallest id stays; of repeated rows one."""
     found = near_duplicates(docs.select("doc_id", "text"))
-    # A class of null ids has no smallest id; its first text stands for it. Texts without a word are no duplicates.
-    group = F.coalesce(F.col("class_id").cast("string"), F.hex("key"))
+    # Ids may be null or stand for several texts, so classes are told apart by component. Texts without a word are no duplicates.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    first = found.where("key IS NOT NULL").groupBy(group.alias("_class")).agg(F.min(order).alias("_first"))
+    first = found.where("key IS NOT NULL").groupBy("component").agg(F.min(order).alias("_first"))
     first = first.select(F.col("_first.doc_id").alias("_id"), F.col("_first.key").alias("_key"))
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), text_key().alias("_text"))
     wordless = ~F.coalesce(F.col("_row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))

@@ -267,8 +267,9 @@ def verified(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, key, class_id and n_links of every row of docs (doc_id, text).
+    """doc_id, key, component, class_id and n_links of every row of docs (doc_id, text).
 
+    component: the key that names the class, also where ids are null or repeated; null if the text has no word.
     class_id: the smallest id among what links join. n_links: documents, copies included, at or above the threshold.
     """
     rows = written(sketched(docs), "sketches")
@@ -292,13 +293,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     names = info.groupBy("component").agg(F.min("first").alias("class_id"))
     counts = links.groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
     info = info.join(names, "component").join(counts, "key", "left")
-    info = info.select("key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    info = info.select("key", "component", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return rows.select("doc_id", "key").join(info, "key", "left").select(
-        "doc_id", "key",
+        "doc_id", "key", "component",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 
 def op9_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("key")
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("key", "component")

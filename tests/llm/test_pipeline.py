@@ -38,6 +38,16 @@ def test_stages(spark, tmp_path):
     assert pieces.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
 
 
+def test_classes_of_repeated_and_missing_ids(spark, tmp_path):
+    """Unrelated texts under one id both stay; of near copies without ids one does."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(200))
+    rows = [(1, text("a")), (1, text("b")), (None, text("c")), (None, text("c") + " more"), (2, text("b") + " more")]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string"), "docs")
+    kept = corpus_pipeline.ngram_jaccard(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["text"].split()[0] for r in kept) == ["a0", "b0", "c0"]
+    assert [r["doc_id"] for r in kept if r["doc_id"] is not None] == [1, 1]
+
+
 def test_an_empty_table_passes(spark, tmp_path):
     folder = stored(spark, tmp_path, documents=documents(spark).where("false"))
     assert corpus_pipeline.run(spark, folder).count() == 0
