@@ -14,7 +14,7 @@ from millrace.llm.langid import keep_known
 from millrace.llm.lines import without_recurring
 from millrace.llm.mixing import curriculum, training_order
 from millrace.llm.neardup import near_duplicates, text_key
-from millrace.llm.packing import pack, tokenizer_path
+from millrace.llm.packing import pack, stored_order, tokenizer_path
 from millrace.llm.shared import table, word_count, written
 
 
@@ -53,8 +53,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in windows of 1024 tokens."""
-    return pack(docs.select("doc_id", "text", "source"), tokenizer_path())
+    """The pieces of all documents in windows of 1024 tokens; docs is a written table, whose order of files and rows is kept."""
+    return pack(docs, tokenizer_path(), order=stored_order())
 
 
 STAGES = [

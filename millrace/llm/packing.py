@@ -6,6 +6,10 @@ to the next window. Partitions hold equal shares of every source, to within a ra
 its token of the whole sequence, with the deficits that the partitions before it leave, both known from sums. So
 windows run across partitions without a gap and only the last one of all is short.
 
+Documents that come in training order keep it: a queue is sorted by file and row of the table, partitions are
+stretches of the order, and what a source is entitled to follows its tokens along the order, so that the proportions
+of the windows change as the order has them. All sources end with their partition, so none starts with a deficit.
+
 Null text: only the closing id 0. Null source: a source of its own. Repeated rows are packed each. Empty table: no rows.
 """
 
@@ -19,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.mixing import source_key
@@ -28,6 +32,9 @@ from millrace.llm.shared import bounded_batches, table, written
 WINDOW = 1024
 #: Tokens from which a waiting source is served.
 QUANTUM = 64
+#: Rows of the training order over which the proportions of the sources are taken; digits of its keys that name a range of 256.
+STEP = 16
+STORED_RANGE = 18
 #: Tokens of a partition, about.
 PARTITION = 2_000_000
 #: Rows of the table of ranges up to which it is broadcast, as its size is then known to be small.
@@ -62,7 +69,17 @@ class Encoder:
         return model.encode_to_numpy(text, allowed_special="all").astype("<u2").tobytes()
 
 
-def tokenized(docs: DataFrame, path: str) -> DataFrame:
+def hash_order() -> Column:
+    return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+
+
+def stored_order() -> Column:
+    """The place of a row in a written table, as text that sorts: number of the file, then row, 10 hexadecimal digits each."""
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    return F.concat(*(F.lpad(F.hex(x), 10, "0") for x in (part, F.col("_metadata.row_index"))))
+
+
+def tokenized(docs: DataFrame, path: str, order: Column | None = None) -> DataFrame:
     """doc_id, source_key, order_key, n (ids with the closing 0) and ids (two bytes each). docs: doc_id, text, source."""
     bounded_batches(docs.sparkSession)
 
@@ -74,7 +91,7 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
 
     rows = docs.select(
         "doc_id", source_key("source").alias("source_key"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("order_key"),
+        (hash_order() if order is None else order).alias("order_key"),
         encode("text").alias("ids"),
     )
     return rows.withColumn("n", (F.octet_length("ids") / 2).cast("long"))
@@ -102,19 +119,52 @@ def ranges(rows: DataFrame, partition: int) -> DataFrame:
     return per.select("source_key", "range", "part", "source_total", "given", "part_start", F.lit(total).cast("long").alias("all_total"))
 
 
+def stretches(rows: DataFrame, partition: int, chars: int) -> DataFrame:
+    """The same per source and range for documents in training order: partitions are neighbouring ranges of all sources."""
+    per = written(rows.groupBy("source_key", F.substring("order_key", 1, chars).alias("range")).agg(F.sum("n").alias("n")), "ranges")
+    total = per.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-total // partition))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = per.groupBy("range").agg(F.sum("n").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    whole = whole.withColumn("part", F.least(F.floor((F.col("ahead") + F.col("n") / 2) / total * parts), F.lit(parts - 1)).cast("int"))
+    starts = whole.groupBy("part").agg(F.min("ahead").alias("part_start"))
+    found = per.select("source_key", "range").join(whole.select("range", "part"), "range").join(starts, "part")
+    return found.select("source_key", "range", "part", "part_start")
+
+
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source_key string"
 )
 
 
-def fill_windows(rows: pd.DataFrame, window: int = WINDOW, quantum: int = QUANTUM) -> pd.DataFrame:
-    """The pieces of one partition."""
+def demand(rows: pd.DataFrame, names: list[str], step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all sources, and of each, up to every ``step`` rows of the training order, from the partition's start."""
+    ordered = rows.sort_values("order_key", kind="stable")
+    tokens = ordered["ids"].str.len().to_numpy() // 2
+    own = np.cumsum(np.where(ordered["source_key"].to_numpy()[:, None] == np.array(names, object), tokens[:, None], 0), 0)
+    ends = np.unique(np.r_[np.arange(step, len(rows), step), len(rows)]) - 1
+    return np.r_[0, np.cumsum(tokens)[ends]], np.vstack([np.zeros(len(names)), own[ends]])
+
+
+def fill_windows(rows: pd.DataFrame, window: int = WINDOW, quantum: int = QUANTUM, step: int = STEP) -> pd.DataFrame:
+    """The pieces of one partition; without columns of totals its rows are in training order."""
     rows = rows.sort_values(["source_key", "order_key", "doc_id", "ids"], kind="stable")
-    at, total = int(rows["part_start"].iloc[0]), int(rows["all_total"].iloc[0])
+    at = start_at = int(rows["part_start"].iloc[0])
     first = rows.groupby("source_key", sort=True).first()
     names = list(first.index)
-    share = first["source_total"].to_numpy(float) / total
-    owed = at * share - first["given"].to_numpy(float)
+    if "source_total" in rows:
+        share = first["source_total"].to_numpy(float) / int(rows["all_total"].iloc[0])
+        owed = at * share - first["given"].to_numpy(float)
+
+        def entitled(tokens: int) -> np.ndarray:
+            return tokens * share
+    else:
+        places, curves = demand(rows, names, step)
+        owed = np.zeros(len(names))
+
+        def entitled(tokens: int) -> np.ndarray:
+            a, b = (np.array([np.interp(x, places, c) for c in curves.T]) for x in (at - start_at, at - start_at + tokens))
+            return b - a
     queues = [deque() for _ in names]
     left = np.zeros(len(names), np.int64)
     place = {s: i for i, s in enumerate(names)}
@@ -138,7 +188,7 @@ def fill_windows(rows: pd.DataFrame, window: int = WINDOW, quantum: int = QUANTU
 
     while left.any():
         room = int(min(window - at % window, left.sum()))
-        owed += room * share
+        owed += entitled(room)
         due = np.minimum(np.floor(owed).astype(np.int64), left)
         ready = np.flatnonzero((due >= quantum) | ((due > 0) & (due == left)))
         for i in np.concatenate([ready[ready >= turn], ready[ready < turn]]):
@@ -157,12 +207,17 @@ def fill_windows(rows: pd.DataFrame, window: int = WINDOW, quantum: int = QUANTU
     return out_frame
 
 
-def pack(docs: DataFrame, path: str, window: int = WINDOW, quantum: int = QUANTUM, partition: int = PARTITION) -> DataFrame:
-    """The pieces of all documents; see PIECES. docs: doc_id, text, source. path: the file of ranks."""
-    rows = written(tokenized(docs, path), "tokens")
-    found = written(ranges(rows, partition), "parts")
+def pack(docs: DataFrame, path: str, window: int = WINDOW, quantum: int = QUANTUM, partition: int = PARTITION, order: Column | None = None, chars: int = STORED_RANGE) -> DataFrame:
+    """The pieces of all documents; see PIECES. docs: doc_id, text, source. path: the file of ranks.
+
+    order: the documents' places in training order, as text; its first ``chars`` characters name a range. Without it
+    queues go by the hash of the id and the proportions stay the same.
+    """
+    rows = written(tokenized(docs, path, order), "tokens")
+    chars = 3 if order is None else chars
+    found = written(ranges(rows, partition) if order is None else stretches(rows, partition, chars), "parts")
     small = found.count() <= SMALL
-    rows = rows.withColumn("range", F.substring("order_key", 1, 3))
+    rows = rows.withColumn("range", F.substring("order_key", 1, chars))
     rows = rows.join(F.broadcast(found) if small else found, ["source_key", "range"]).drop("range", "n")
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:

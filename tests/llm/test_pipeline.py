@@ -5,6 +5,7 @@ from collections import Counter
 import corpus_pipeline
 from fixtures import documents, near_classes, stored, words
 
+from millrace.llm.packing import pack, stored_order, tokenizer_path
 from millrace.llm.shared import written
 
 
@@ -38,6 +39,27 @@ def test_stages(spark, tmp_path):
     assert pieces.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
 
 
+def test_packing_keeps_the_training_order(spark):
+    """Within a source later documents start later, copies stand a pass apart, and proportions follow the order."""
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    # Source a in the first half of the order, b mostly in the second; ids 0 to 99 of a come twice.
+    order = [("a", i % 100) if k % 4 else ("b", 1000 + i) for k, i in enumerate(range(200))] + [("b", 2000 + i) for i in range(200)]
+    rows = [(i, text(i), s, k) for k, (s, i) in enumerate(order)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, place int")
+    docs = written(frame.repartitionByRange(4, "place").sortWithinPartitions("place").drop("place"), "docs")
+    for size in (30_000, 2_000_000):
+        pieces = pack(docs, tokenizer_path(), partition=size, order=stored_order(), chars=19).collect()
+        pieces = sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"]))
+        for source in "ab":
+            starts = [p["doc_id"] for p in pieces if p["start"] == 0 and p["source_key"] == "s" + source]
+            assert starts == [i for s, i in order if s == source]
+        ends = [p["sequence_id"] * 1024 + p["offset"] + p["length"] for p in pieces]
+        assert ends[:-1] == [p["sequence_id"] * 1024 + p["offset"] for p in pieces[1:]]
+        half = [p["length"] for p in pieces if p["source_key"] == "sa"]
+        late = [p["length"] for p in pieces if p["source_key"] == "sa" and p["sequence_id"] * 1024 > 0.55 * ends[-1]]
+        assert sum(half) and not sum(late)
+
+
 def test_classes_of_repeated_and_missing_ids(spark, tmp_path):
     """Unrelated texts under one id both stay; of near copies without ids one does."""
     text = lambda name: " ".join(f"{name}{i}" for i in range(200))
