@@ -18,6 +18,10 @@ from millrace.llm.packing import pack, stored_order, tokenizer_path
 from millrace.llm.shared import table, word_count, written
 
 
+#: Words from which a line that two documents share word for word is dropped.
+VERBATIM_TOKENS = 50
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told. Without text or letters, or below a score of one half: rejected."""
     return keep_known(docs)
@@ -25,7 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go; a document that had words and has none left goes too. n_chars follows the text."""
-    cleaned = without_recurring(docs)
+    cleaned = without_recurring(docs, verbatim_tokens=VERBATIM_TOKENS)
     left = cleaned.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") == 0, F.col("row.n_chars")).otherwise(F.length("text"))}
     return left.select(*[new[c].cast(t).alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c, t in docs.dtypes])

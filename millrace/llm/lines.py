@@ -5,6 +5,9 @@ from the start. In a leaf, a token that few documents have at its place is varia
 template of the line. A template with enough constant tokens that recurs in enough documents is dropped, but for
 the document with the smallest id, which keeps its lines.
 
+Where verbatim_tokens is given, lines that recur word for word go as well, whatever their share of digits: from two
+documents on if they have so many tokens, else from min_docs on.
+
 Only lines in leaves that enough documents reach are looked at token by token, each different line once.
 Null text stays null. Empty text has one empty line, which is kept, as all lines below min_tokens are. Rows with the
 same id and text are one document. Null ids come first. Empty table: no rows.
@@ -33,17 +36,21 @@ def _identity(text: Column) -> Column:
     return F.coalesce(F.xxhash64(text), F.lit(0))
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth: int = 3, similarity: float = 0.5) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth: int = 3, similarity: float = 0.5, verbatim_tokens: int | None = None) -> DataFrame:
     """(doc_id, hash of the text, positions of dropped lines) of documents that lose lines. docs: doc_id, text."""
     docs = docs.select("doc_id", "text", _identity(F.col("text")).alias("h"))
     cut = docs.where("text IS NOT NULL").select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    cut = cut.select("doc_id", "h", "pos", tokens_of(F.col("line")).alias("tokens"))
+    # What a line says, where its tokens with a digit do not tell.
+    said = F.when(F.col("line").rlike("[0-9]"), F.unhex(F.md5(F.col("line").cast("binary"))))
+    said = [] if verbatim_tokens is None else [said.alias("said")]
+    cut = cut.select("doc_id", "h", "pos", tokens_of(F.col("line")).alias("tokens"), *said)
     # Short lines are left out only afterwards: a filter here would cut each line into tokens twice.
     lines = written(
         cut.select(
             "doc_id", "h", "pos", F.size("tokens").alias("n"),
             F.xxhash64(F.size("tokens"), F.array_join(F.slice("tokens", 1, depth), " ")).alias("leaf"),
             F.unhex(F.md5(F.array_join("tokens", " ").cast("binary"))).alias("line"),
+            *["said"][: len(said)],
         ),
         "lines",
     ).where(F.col("n") >= min_tokens)
@@ -82,9 +89,21 @@ def dropped_lines(docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth
     )
     spent = templates.join(recurring, "template").select("leaf", "line", "first")
     gone = lines.join(spent, ["leaf", "line"]).where(~F.struct("doc_id", "h").eqNullSafe(F.col("first")))
+    if verbatim_tokens is not None:
+        gone = gone.select("doc_id", "h", "pos").unionAll(verbatim(lines, min_docs, verbatim_tokens))
     return gone.groupBy("doc_id", "h").agg(F.collect_set("pos").alias("gone"))
 
 
+def verbatim(lines: DataFrame, min_docs: int, long: int) -> DataFrame:
+    """(doc_id, h, pos) of lines that recur word for word, but for those of the document with the smallest id."""
+    lines = lines.select("doc_id", "h", "pos", "n", F.coalesce("said", "line").alias("said"))
+    per = lines.groupBy("said", "doc_id", "h").agg(F.max("n").alias("n"))
+    per = per.groupBy("said").agg(F.count("*").alias("docs"), F.max("n").alias("n"), F.min(F.struct("doc_id", "h")).alias("first"))
+    per = per.where((F.col("docs") >= min_docs) | (F.col("docs") >= 2) & (F.col("n") >= long)).select("said", "first")
+    gone = lines.join(per, "said").where(~F.struct("doc_id", "h").eqNullSafe(F.col("first")))
+    return gone.select("doc_id", "h", "pos")
+
+
 def _with(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
     """Joined on id and hash of the text, null ids included. docs has its columns and h."""
     more = more.withColumnsRenamed({"doc_id": "_id", "h": "_h"})

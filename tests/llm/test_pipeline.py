@@ -39,6 +39,19 @@ def test_stages(spark, tmp_path):
     assert pieces.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
 
 
+def test_verbatim_lines_go(spark, tmp_path):
+    """Long lines from two documents on, also those full of digits; shorter ones from five, whatever their digits."""
+    passage, figures = " ".join(f"word{chr(97 + i % 26)}{'x' * (i // 26)}" for i in range(60)), " ".join(map(str, range(60)))
+    prices = "call 0800 123 456 now 99"
+    own = lambda i: " ".join(f"unlike{chr(97 + i)}{chr(97 + j)}" for j in range(6))
+    texts = [f"{own(i)}\n{prices}" + (f"\n{passage}\n{figures}\n{figures} {i}" if i < 2 else "") for i in range(6)]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    found = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
+    assert found[0] == texts[0]
+    assert found[1] == f"{own(1)}\n{figures} 1"
+    assert [found[i] for i in range(2, 6)] == [own(i) for i in range(2, 6)]
+
+
 def test_packing_keeps_the_training_order(spark):
     """Within a source later documents start later, copies stand a pass apart, and proportions follow the order."""
     text = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
