@@ -1,8 +1,9 @@
-"""N-gram Jaccard join: MinHash LSH forest over shingles of five words, then exact verification.
+"""N-gram Jaccard join: banded MinHash LSH over shingles of five words, then exact verification.
 
-Exact copies become one node first. Every node has a signature for each tree of the forest, a path of DEPTH
-minima. Nodes that share a prefix of a path are candidates; the prefix is shortened from full depth until the trees
-together find a pair at the threshold with the target recall. Within a bucket, sketches of one byte per minimum tell
+Exact copies become one node first. Every node has a signature of TREES times DEPTH minima. Nodes that share a band,
+the first minima of one of the TREES, are candidates; the same length, the longest for which all bands
+together find a pair at the threshold with the target recall. It is not an LSH forest: no
+prefix is shortened by what the data holds. Within a bucket, sketches of one byte per minimum tell
 what may reach the threshold; what is linked so falls into tight groups, and inside these every pair is verified on its
 whole shingle sets. Buckets and groups that are large are cut into blocks, and pairs of blocks are dealt out; only counts
 of links and the edges of a spanning forest leave a task, never all pairs.
@@ -49,7 +50,7 @@ def prefix_length(threshold: float = THRESHOLD, recall: float = RECALL, trees: i
 
 
 def least_matches(threshold: float = THRESHOLD, n: int = TREES * DEPTH) -> int:
-    """Matching bytes of two sketches that a pair at the threshold reaches but for one in 30,000."""
+    """Matching bytes of two sketches that a pair at the threshold reaches but for one in 17,000."""
     return math.floor(n * (threshold - 4 * math.sqrt(threshold * (1 - threshold) / n)))
 
 
