@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from compare import connect, spark_rows, sql_rows
-from fixtures import documents, near_classes, stored, words
+from llm_fixtures import documents, near_classes, stored, words
 from pyspark.sql import functions as F
 
 from millrace.llm import langid, lines, mixing, neardup, packing, quality, queries, substrings, topk, toxicity, urls

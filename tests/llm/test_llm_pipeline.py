@@ -3,7 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from fixtures import documents, near_classes, stored, words
+from llm_fixtures import documents, near_classes, stored, words
 
 from millrace.llm.packing import pack, stored_order, tokenizer_path
 from millrace.llm.shared import written
