@@ -3,6 +3,7 @@
 from millrace.llm.langid import op5_language_id
 from millrace.llm.lines import OP7_SQL, op7_line_dedup
 from millrace.llm.mixing import OP10_SQL, op10_mixing
+from millrace.llm.negatives import OP13_SQL, op13_hard_negatives
 from millrace.llm.neardup import op9_ngram_jaccard_join
 from millrace.llm.packing import op6_packing
 from millrace.llm.quality import op4_quality_rules
@@ -24,5 +25,6 @@ QUERIES = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-ORACLES = {"op3_exact_topk": OP3_SQL, "op7_line_dedup": OP7_SQL, "op10_mixing": OP10_SQL}
+ORACLES = {"op3_exact_topk": OP3_SQL, "op7_line_dedup": OP7_SQL, "op10_mixing": OP10_SQL, "op13_hard_negatives": OP13_SQL}
