@@ -8,6 +8,7 @@ from millrace.llm.neardup import op9_ngram_jaccard_join
 from millrace.llm.packing import op6_packing
 from millrace.llm.quality import op4_quality_rules
 from millrace.llm.runs import op11_periodic_runs
+from millrace.llm.secrets import op12_secret_scan
 from millrace.llm.substrings import op2_suffix_array_dedup
 from millrace.llm.topk import OP3_SQL, op3_exact_topk
 from millrace.llm.toxicity import op1_toxicity
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_secret_scan": op12_secret_scan,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES = {"op3_exact_topk": OP3_SQL, "op7_line_dedup": OP7_SQL, "op10_mixing": OP10_SQL, "op13_hard_negatives": OP13_SQL}
