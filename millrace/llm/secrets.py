@@ -460,9 +460,13 @@ def listed(spans: Column) -> Column:
     return F.concat_ws(",", one)
 
 
+def of_kind(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind))
+
+
 def op12_secret_scan(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = with_secrets(docs, field=learned(docs))
     base = F.filter("spans", lambda s: s["kind"] != "field")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
+    counts = [of_kind(F.col("spans"), k).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
