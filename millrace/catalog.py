@@ -89,7 +89,9 @@ class Layout:
     ``root`` is a folder on storage that every executor sees; checkpoints always live there. With
     ``database`` the layers are catalog tables of that database, otherwise Parquet folders in
     ``root``. ``grain`` is the event-time span of one storage partition: the unit that a late row
-    causes to be rebuilt; a multiple of ``window``. ``whole_seconds`` is the compatibility form of silver: times cut to
+    causes to be rebuilt; a multiple of ``window``. With ``shards`` each span is cut once more, by a hash of the device, so
+    that a late row causes the partition of its span and shard to be rebuilt; another number of shards needs a rebuild of
+    the layers. ``whole_seconds`` is the compatibility form of silver: times cut to
     seconds and one record per device and second. ``order_by`` names the bronze columns that say
     which of two readings of the same device, metric and instant came first; the position in the
     envelope follows them.
@@ -101,6 +103,7 @@ class Layout:
     landing_schema: T.StructType = LANDING_SCHEMA
     order_by: tuple[str, ...] = ("ingestion_time", "source_file")
     grain: str = "hour"
+    shards: int = 1
     window: str = DEFAULT_WINDOW
     watermark: str = DEFAULT_WATERMARK
     whole_seconds: bool = False
@@ -109,6 +112,8 @@ class Layout:
     def __post_init__(self):
         if grain_seconds(self.grain) % interval_seconds(self.window):
             raise ValueError(f"a {self.grain} partition does not hold whole windows of {self.window}")
+        if not 1 <= self.shards <= 10_000:
+            raise ValueError("there are 1 to 10000 shards")
         object.__setattr__(self, "numeric", numeric_columns(self.silver_schema))
 
     def checkpoint(self, name: str) -> str:
@@ -124,13 +129,20 @@ class Layout:
         location = f"{self.database}.{name}" if self.database else f"{self.root}/{name}"
         return Dataset(location, schema, partition_by, sort_by)
 
+    @property
+    def schema_store(self) -> str:
+        """Where the versions of a growing landing schema are."""
+        return f"{self.root}/_schemas/bronze"
+
     @property
     def bronze_schema(self) -> T.StructType:
+        """The declared fields come last, so that new ones follow."""
         return T.StructType(
             [
-                *self.landing_schema.fields,
                 T.StructField("source_file", T.StringType()),
                 T.StructField("ingestion_time", T.TimestampType()),
+                T.StructField("rescued", T.StringType()),
+                *self.landing_schema.fields,
             ]
         )
 
@@ -207,14 +219,21 @@ class Layout:
 
     @property
     def bronze(self) -> Dataset:
-        return self._dataset("bronze", self.bronze_schema)
+        """Bronze rows of the stream; a batch has one folder, below the day on which it was taken."""
+        parts = [T.StructField("ingestion_date", T.StringType()), T.StructField("bid", T.LongType())]
+        return self._dataset("bronze", T.StructType([*self.bronze_schema.fields, *parts]), ("ingestion_date", "bid"))
 
     @property
     def backfill(self) -> Dataset:
-        """Bronze rows loaded by batch. A stream's folder lists only the files of the stream."""
-        load = T.StructField("load", T.LongType())
-        schema = T.StructType([*self.bronze_schema.fields, load])
-        return self._dataset("bronze_backfill", schema, ("load",))
+        """Bronze rows loaded by batch, in parts of a bounded number of files. The silver stream does not follow them."""
+        parts = [T.StructField("load", T.LongType()), T.StructField("part", T.LongType())]
+        return self._dataset("bronze_backfill", T.StructType([*self.bronze_schema.fields, *parts]), ("load", "part"))
+
+    @property
+    def ledger(self) -> Dataset:
+        """The files that bronze holds, by a hash of their bare name, written with each batch and load."""
+        fields = [("source_file", T.StringType()), ("bucket", T.StringType()), ("bid", T.LongType())]
+        return self._dataset("bronze_files", T.StructType([T.StructField(n, t) for n, t in fields]), ("bucket", "bid"))
 
     @property
     def readings(self) -> Dataset:

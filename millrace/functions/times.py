@@ -65,6 +65,17 @@ def bucket_of_millis(millis: Column, grain: str) -> Column:
     return F.concat_ws("-", hour, part(seconds * 1_000, 3_600 // seconds, seconds // 60))
 
 
+def device_shard(device: str | Column, shards: int) -> Column:
+    """The number of a device's shard, as it stands in the names of partitions."""
+    device = F.col(device) if isinstance(device, str) else device
+    return F.lpad(F.pmod(F.xxhash64(device.cast("bigint")), F.lit(shards)).cast("string"), 4, "0")
+
+
+def in_shards(bucket: Column, device: str, shards: int) -> Column:
+    """The storage partition of an instant and a device: ``2024-01-31T23_0007``. One shard needs no name."""
+    return bucket if shards == 1 else F.concat_ws("_", bucket, device_shard(device, shards))
+
+
 def bucket_of_instant(timestamp: Column, grain: str) -> Column:
     return bucket_of_millis(F.unix_millis(timestamp), grain)
 

@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.times import device_shard
+
 
 def device_counts(silver: DataFrame) -> DataFrame:
     return silver.groupBy("device_id").agg(F.count("*").alias("info_count"))
 
 
-def of_device(silver: DataFrame, device_id: int | str) -> DataFrame:
-    """All columns of one device. The key is compared as a number, so that the scan can use it."""
-    return silver.where(F.col("device_id") == F.lit(int(device_id)).cast("bigint"))
+def of_device(rows: DataFrame, device_id: int | str, shards: int = 1, bucket: str = "event_bucket") -> DataFrame:
+    """All columns of one device. The key is compared as a number, so that the scan can use it.
+
+    With the shards of the layout, and the column of its partitions, only those of the device's shard are read.
+    """
+    device = F.lit(int(device_id)).cast("bigint")
+    found = rows.where(F.col("device_id") == device)
+    return found if shards == 1 else found.where(F.endswith(F.col(bucket), F.concat(F.lit("_"), device_shard(device, shards))))
 
 
 def ordered(metrics: DataFrame) -> DataFrame:

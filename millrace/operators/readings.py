@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.parsing import parse_readings
-from millrace.functions.times import bucket_of_millis, in_range
+from millrace.functions.times import bucket_of_millis, in_range, in_shards
 
 
 def explode_readings(envelopes: DataFrame, order_by: tuple[str, ...] = (), text: str = "values") -> DataFrame:
@@ -37,8 +37,9 @@ def valid_readings(readings: DataFrame) -> DataFrame:
     return readings.where(is_valid())
 
 
-def with_bucket(readings: DataFrame, grain: str) -> DataFrame:
-    return readings.withColumn("event_bucket", bucket_of_millis(F.col("timestampUtc"), grain))
+def with_bucket(readings: DataFrame, grain: str, shards: int = 1) -> DataFrame:
+    bucket = bucket_of_millis(F.col("timestampUtc"), grain)
+    return readings.withColumn("event_bucket", in_shards(bucket, "device_id", shards))
 
 
 def reading_quality(bronze: DataFrame, text: str = "values") -> DataFrame:

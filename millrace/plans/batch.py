@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from millrace.catalog import STATISTICS, Layout
 from millrace.operators.windows import one_statistic, window_statistics
 from millrace.sinks.fanout import computed_once
 from millrace.operators.readings import explode_readings, valid_readings
-from millrace.sources.backfill import all_bronze, pending_rows
+from millrace.sources.backfill import FILES_AT_ONCE, all_bronze, pending_parts, record_files, texts_of
+from millrace.streaming.bronze import fitted_rows
 from millrace.streaming.gold import (
     gold_kept_by,
     partials_batch,
@@ -21,6 +24,8 @@ from millrace.streaming.silver import readings_of, records_of, store_batch
 
 # Batch numbers below zero belong to batch jobs; streams count from zero.
 REBUILD = -1
+# Loads have numbers below this.
+LOADS = 10**6
 
 
 def silver_of(bronze: DataFrame, layout: Layout) -> DataFrame:
@@ -64,27 +69,58 @@ def rebuild(spark: SparkSession, layout: Layout) -> None:
         layout.partials.overwrite(partials_of(layout, readings, REBUILD))
 
 
-def backfill(
-    spark: SparkSession, layout: Layout, folder: str, load: int, by: str = "path", multi_line: bool = False
-) -> None:
-    """Load the files below ``folder`` that bronze does not hold yet, up to the metric tables.
+def part_number(load: int, part: int) -> int:
+    """The batch number of a part of a load. Each has its own, below those of rebuilds."""
+    return REBUILD - load - part * LOADS
+
+
+def load_part(spark: SparkSession, layout: Layout, texts: DataFrame, load: int, part: int, kept_by: str, grow: bool) -> None:
+    """Take the texts of one part up to the metric tables; the ledger last, which says that the part is done."""
+    number = part_number(load, part)
+
+    def write(layout: Layout, rows: DataFrame) -> None:
+        layout.backfill.widen(spark)
+        rows = rows.withColumn("load", F.lit(load)).withColumn("part", F.lit(part))
+        layout.backfill.overwrite_partitions(rows, arrange=False)
+
+    fitted_rows(layout, texts, write, grow)
+    # An earlier try may have had other files in this part.
+    for dataset in (layout.readings, layout.partials):
+        dataset.drop_batch(spark, number)
+    loaded = layout.backfill.read(spark).where((F.col("load") == load) & (F.col("part") == part))
+    touched = store_batch(layout, readings_of(loaded, layout), number)
+    if kept_by == "partials":
+        partials_batch(layout, valid_readings(explode_readings(loaded, layout.order_by)), number)
+    else:
+        recompute_windows(spark, layout, touched)
+    record_files(layout, loaded, number)
 
-    ``load`` is a number from 1 that the caller gives to this load. After a failure, run the same
-    load again: each step replaces what it wrote before. Gold that is kept by partials gets the load's own
-    partials; gold that is kept in Spark's state cannot take a load, which is an error.
+
+def backfill(
+    spark: SparkSession,
+    layout: Layout,
+    folder: str,
+    load: int,
+    by: str = "path",
+    multi_line: bool = False,
+    grow: bool = True,
+    files_at_once: int = FILES_AT_ONCE,
+) -> int:
+    """Load the files below ``folder`` that bronze does not hold yet, up to the metric tables; the number of parts.
+
+    ``load`` is a number from 1 that the caller gives to this load. It is done in parts of so many files, each of which is
+    in the ledger when it is done. After a failure, run the same load again: it goes on with the part that was not. Gold that
+    is kept by partials gets the load's own partials; gold that is kept in Spark's state cannot take a load, which is
+    an error.
     """
-    if load < 1:
-        raise ValueError("loads are numbered from 1")
+    if not 1 <= load < LOADS:
+        raise ValueError(f"loads are numbered from 1 to {LOADS - 1}")
     kept_by = gold_kept_by(spark, layout)
     if kept_by == "native":
         raise ValueError("windows kept in the state of a stream cannot take a backfill; use rebuild without that stream")
-    earlier = layout.backfill.read_or_empty(spark).where(F.col("load") != load).drop("load")
-    held = layout.bronze.read_or_empty(spark).unionByName(earlier)
-    rows = pending_rows(spark, folder, layout.landing_schema, held, by, multi_line)
-    layout.backfill.overwrite_partitions(rows.withColumn("load", F.lit(load)))
-    loaded = layout.backfill.read_or_empty(spark).where(F.col("load") == load)
-    touched = store_batch(layout, readings_of(loaded, layout), REBUILD - load)
-    if kept_by == "partials":
-        partials_batch(layout, valid_readings(explode_readings(loaded, layout.order_by)), REBUILD - load)
-    else:
-        recompute_windows(spark, layout, touched)
+    done = layout.ledger.batches(spark)
+    part = next(p for p in count() if part_number(load, p) not in done)
+    for paths in pending_parts(spark, layout, folder, by, files_at_once):
+        load_part(spark, layout, texts_of(spark, paths, multi_line), load, part, kept_by, grow)
+        part += 1
+    return part

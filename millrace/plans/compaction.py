@@ -41,7 +41,7 @@ def compact_dataset(spark: SparkSession, dataset: Dataset, fold: Callable[[DataF
 
 
 def compact(spark: SparkSession, layout: Layout, least: int = 8) -> dict[str, int]:
-    """Compact readings and window partials of a layout in folders, between two runs of its streams.
+    """Compact readings, window partials and the ledger of files of a layout in folders, between two runs of its streams.
 
     Batches of backfills and rebuilds keep their own numbers, so that they can be run again. Partials of one window
     become one; readings are only brought together.
@@ -53,4 +53,5 @@ def compact(spark: SparkSession, layout: Layout, least: int = 8) -> dict[str, in
     return {
         "readings": compact_dataset(spark, layout.readings, lambda rows: rows, least),
         "window_partials": compact_dataset(spark, layout.partials, one_per_window, least),
+        "bronze_files": compact_dataset(spark, layout.ledger, lambda rows: rows, least),
     }

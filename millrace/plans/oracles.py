@@ -119,11 +119,24 @@ max(window_start) AS latest_window, 'active' AS status FROM ({windows(HOURLY, "d
     ),
     "incremental_file_anti": f"""{READINGS}, true AS has_ingestion_time FROM events
 WHERE event_type NOT IN ('view', 'click')""",
+    "bronze_rescued": r"""SELECT CASE WHEN event_type <> 'error' THEN event_id END AS sequence,
+CAST(CASE WHEN event_type <> 'error' THEN json_object('props', CAST(props AS JSON))
+ELSE json_object('props', CAST(props AS JSON), 'sequence', 'x' || event_id) END AS VARCHAR) AS rescued FROM events
+UNION ALL SELECT NULL, line FROM (SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents)
+WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]')""",
+    "rescued_by_name": """SELECT 'props' AS name, 'OBJECT' AS type, count(*) AS n,
+CAST(sum(CAST(props->>'k' AS BIGINT)) AS BIGINT) AS total FROM events
+UNION ALL SELECT 'sequence', 'STRING', count(*), NULL FROM events WHERE event_type = 'error'""",
+    "schema_growth": """SELECT event_id AS sequence, CASE WHEN event_id % 2 = 1 THEN event_type END AS site,
+CASE WHEN event_id % 2 = 1 THEN CAST(json(props) AS VARCHAR) END AS details, true AS complete FROM events""",
+    "backfill_recompute": stacked(EXACT),
+    "backfill_partials": stacked(EXACT),
     "bronze_append_stream": f"{READINGS}, true AS has_ingestion_time FROM events",
     "bronze_two_runs": f"{READINGS}, true AS has_ingestion_time FROM events",
     "silver_stream": HOURLY,
     "silver_rebuild": HOURLY,
     "window_recompute_stream": stacked(EXACT),
+    "window_sharded_stream": stacked(EXACT),
     "window_partials_stream": stacked(EXACT),
     "window_native_stream": stacked(EXACT),
 }

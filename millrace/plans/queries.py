@@ -29,7 +29,8 @@ from millrace.operators.windows import (
     window_partials,
     window_statistics,
 )
-from millrace.plans.batch import gold_of, rebuild, silver_of
+from millrace.operators.edge import rescued_fields
+from millrace.plans.batch import backfill, gold_of, rebuild, silver_of
 from millrace.plans.standins import (
     EVENT_METRICS,
     bronze_frame,
@@ -37,22 +38,26 @@ from millrace.plans.standins import (
     by_third_of_hour,
     envelopes,
     event_layout,
+    event_lines,
     hourly_records,
     in_time_order,
+    landing_of,
     shown,
     stage,
+    stage_lines,
     table,
     telemetry,
 )
 from millrace.sinks.upsert import upsert
 from millrace.sources.backfill import pending_rows
-from millrace.sources.landing import landing_batch, top_level_names
-from millrace.streaming.bronze import start_bronze
+from millrace.sources.landing import top_level_names
+from millrace.streaming.bronze import grown, start_bronze
 from millrace.streaming.gold import (
     WINDOW_KEY,
     start_gold,
     start_gold_native,
     start_gold_partials,
+    start_silver_and_gold,
     with_window_bucket,
 )
 from millrace.streaming.silver import start_silver
@@ -252,25 +257,54 @@ def stored_readings(bronze: DataFrame) -> DataFrame:
 
 
 def incremental_file_anti(spark: SparkSession, sf: str) -> DataFrame:
-    """Readings in the files that bronze does not hold: those dropped after the first drain."""
+    """Readings in the files that the ledger does not hold: those dropped after the first drain."""
     layout = event_layout(spark, "anti")
-    landing = f"{layout.root}/landing"
     first, *later = by_metric(telemetry(spark, sf))
-    stage(first, landing)
-    held = landing_batch(spark, landing, layout.landing_schema)
-    layout.backfill.overwrite_partitions(held.withColumn("load", F.lit(1)))
+    drop_and_drain(spark, layout, [first])
     for drop in later:
-        stage(drop, landing)
-    rows = pending_rows(spark, landing, layout.landing_schema, layout.backfill.read(spark))
-    return stored_readings(rows)
+        stage(drop, landing_of(layout))
+    return stored_readings(pending_rows(spark, layout, landing_of(layout)))
+
+
+def bronze_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left over of lines with undeclared and unfit fields, and of lines that are no JSON."""
+    layout = event_layout(spark, "rescued")
+    stage_lines(event_lines(spark, sf), landing_of(layout))
+    stage_lines(table(spark, sf, "documents").select("text").where("text IS NOT NULL"), landing_of(layout))
+    start_bronze(spark, layout, landing_of(layout), grow=False, pattern="*.txt").awaitTermination()
+    return layout.bronze.read(spark).select("sequence", "rescued")
+
+
+def rescued_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each field was left over, by type, read from the stored texts as variants."""
+    layout = event_layout(spark, "rescued-names")
+    stage_lines(event_lines(spark, sf), landing_of(layout))
+    start_bronze(spark, layout, landing_of(layout), grow=False, pattern="*.txt").awaitTermination()
+    fields = rescued_fields(layout.bronze.read(spark))
+    k = F.try_variant_get(F.try_parse_json("value"), "$.k", "bigint")
+    kind = F.regexp_extract("type", "^[A-Z]+", 0).alias("type")
+    return fields.groupBy("name", kind).agg(F.count("*").alias("n"), F.sum(k).alias("total"))
+
+
+def schema_growth(spark: SparkSession, sf: str) -> DataFrame:
+    """Two drops, the second with fields that the first did not have, as columns of bronze."""
+    layout = event_layout(spark, "growth")
+    events = table(spark, sf, "events")
+    for odd in (0, 1):
+        part = events.where(F.col("event_id") % 2 == odd)
+        new = [F.col("event_type").alias("site"), F.try_parse_json("props").alias("details")] if odd else []
+        lines = part.select(F.to_json(F.struct(F.array("value").alias("values"), F.col("event_id").alias("sequence"), *new)))
+        stage_lines(lines, landing_of(layout))
+        start_bronze(spark, layout, landing_of(layout), pattern="*.txt").awaitTermination()
+    rows = grown(spark, layout).bronze.read(spark)
+    return rows.select("sequence", "site", "details", F.col("rescued").isNull().alias("complete"))
 
 
 def drop_and_drain(spark: SparkSession, layout: Layout, drops: list[DataFrame], *layers: Callable) -> None:
     """Stage each drop as files and let every layer take what is new."""
-    landing = f"{layout.root}/landing"
     for drop in drops:
-        stage(drop, landing)
-        start_bronze(spark, layout, landing).awaitTermination()
+        stage(drop, landing_of(layout))
+        start_bronze(spark, layout, landing_of(layout)).awaitTermination()
         for start in layers:
             start(spark, layout).awaitTermination()
 
@@ -306,6 +340,13 @@ def window_recompute_stream(spark: SparkSession, sf: str) -> DataFrame:
     return gold_tables(spark, layout)
 
 
+def window_sharded_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Partitions of a day and a shard of the devices; the late third of each hour rebuilds those it falls into."""
+    layout = event_layout(spark, "sharded", shards=2)
+    drop_and_drain(spark, layout, by_third_of_hour(telemetry(spark, sf)), start_silver_and_gold)
+    return gold_tables(spark, layout)
+
+
 def window_partials_stream(spark: SparkSession, sf: str) -> DataFrame:
     layout = event_layout(spark, "partials")
     drop_and_drain(spark, layout, by_third_of_hour(telemetry(spark, sf)), start_gold_partials)
@@ -318,6 +359,21 @@ def window_native_stream(spark: SparkSession, sf: str) -> DataFrame:
     return gold_tables(spark, layout)
 
 
+def backfilled(name: str, *layers: Callable) -> Query:
+    """One third through the streams, the rest as a load in parts of a few files, next to it as if another feed had it."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        layout = event_layout(spark, name)
+        first, *later = by_third_of_hour(telemetry(spark, sf))
+        drop_and_drain(spark, layout, [first], *layers)
+        for drop in later:
+            stage(drop, landing_of(layout))
+        backfill(spark, layout, landing_of(layout), load=1)
+        return gold_tables(spark, layout)
+
+    return query
+
+
 def gold_tables(spark: SparkSession, layout: Layout) -> DataFrame:
     """The four metric tables stacked, with the name of the statistic."""
     return union_all(
@@ -349,11 +405,17 @@ QUERIES: dict[str, Query] = {
     "processing_rate": rate,
     "gold_status": status_of_gold,
     "incremental_file_anti": incremental_file_anti,
+    "bronze_rescued": bronze_rescued,
+    "rescued_by_name": rescued_by_name,
+    "schema_growth": schema_growth,
+    "backfill_recompute": backfilled("backfill", start_silver, start_gold),
+    "backfill_partials": backfilled("backfill-partials", start_gold_partials),
     "bronze_append_stream": bronze_append_stream,
     "bronze_two_runs": bronze_two_runs,
     "silver_stream": silver_stream,
     "silver_rebuild": silver_rebuild,
     "window_recompute_stream": window_recompute_stream,
+    "window_sharded_stream": window_sharded_stream,
     "window_partials_stream": window_partials_stream,
     "window_native_stream": window_native_stream,
 }

@@ -78,7 +78,33 @@ def stage(readings: DataFrame, landing: str) -> None:
     envelopes(readings).select("values", "sequence").write.mode("append").json(landing)
 
 
-def event_layout(spark: SparkSession, name: str, window: str = "1 hour") -> Layout:
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line of JSON per event: a reading, a sequence that is no number for errors, and a field that no schema declares."""
+    events = table(spark, sf_dir, "events")
+    reading = F.struct(
+        F.col("user_id").alias("device_id"),
+        F.col("event_type").alias("metric"),
+        millis_of_ntz("ts").alias("timestampUtc"),
+        F.lit("float").alias("datatype"),
+        "value",
+    )
+    values, details = F.array(reading).alias("values"), F.try_parse_json("props").alias("props")
+    event_id = F.col("event_id")
+    unfit = F.to_json(F.struct(values, F.concat(F.lit("x"), event_id).alias("sequence"), details))
+    fit = F.to_json(F.struct(values, event_id.alias("sequence"), details))
+    return events.select(F.when(F.col("event_type") == "error", unfit).otherwise(fit).alias("line"))
+
+
+def stage_lines(lines: DataFrame, landing: str) -> None:
+    """Drop texts as they are into a landing folder, as ``*.txt`` files."""
+    lines.write.mode("append").text(landing)
+
+
+def landing_of(layout: Layout) -> str:
+    return f"{layout.root}/landing"
+
+
+def event_layout(spark: SparkSession, name: str, window: str = "1 hour", shards: int = 1) -> Layout:
     return Layout(
         root=scratch_folder(spark, name),
         catalog=EVENT_METRICS,
@@ -86,6 +112,7 @@ def event_layout(spark: SparkSession, name: str, window: str = "1 hour") -> Layo
         order_by=("sequence",),
         grain="day",
         window=window,
+        shards=shards,
     )
 
 

@@ -15,11 +15,16 @@ from pyspark.sql import types as T
 # Partition values that are written in a path, and in a path pattern, as they are.
 PLAIN_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 
+# Spark's own default forgets files a week older than the newest one, and so loses them.
+NO_FILE_TOO_OLD = "3650d"
+
 # Names in one pattern when partition folders are looked up.
 NAMES_AT_ONCE = 1_000
 
 # Batch numbers from here down are compactions: FOLDED - n stands for the batches 0 to n of its partition.
 FOLDED = -(10**12)
+# The pattern of their names: thirteen digits or more.
+FOLDED_NAMES = "-" + "[0-9]" * 13 + "*"
 BATCH = "bid"
 
 DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
@@ -65,6 +70,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+
+
 def superseded(batches: list[int]) -> set[int]:
     """Of the batch numbers of one partition, those whose rows its latest compaction holds."""
     latest = min((n for n in batches if n <= FOLDED), default=None)
@@ -104,6 +114,37 @@ class Dataset:
             found.setdefault(partition, {})[int(batch)] = path
         return found
 
+    def live_folders(self, spark: SparkSession, names: str = "*") -> list[str]:
+        """The folders whose rows count: those of all batches but the ones that a compaction stands for."""
+        folders = []
+        for batches in self.batch_folders(spark, names).values():
+            old = superseded(list(batches))
+            folders += [path for n, path in batches.items() if n not in old]
+        return folders
+
+    def batch_paths(self, spark: SparkSession, batch: int) -> list[str]:
+        """The folders of one batch, in any partition."""
+        return matching_paths(spark, f"{self.location}/*/{BATCH}={batch}")
+
+    def batches(self, spark: SparkSession) -> set[int]:
+        """The numbers of all batches."""
+        if self.is_path:
+            return {n for folders in self.batch_folders(spark).values() for n in folders}
+        return {r[0] for r in self.read_or_empty(spark).select(BATCH).distinct().collect()}
+
+    def read_batch(self, spark: SparkSession, batch: int) -> DataFrame:
+        """The rows of one batch."""
+        if not self.is_path:
+            return self.read_or_empty(spark).where(F.col(BATCH) == batch)
+        paths = self.batch_paths(spark, batch)
+        reader = spark.read.schema(self.schema).option("basePath", self.location)
+        return reader.parquet(*paths) if paths else self.empty(spark)
+
+    def drop_batch(self, spark: SparkSession, batch: int) -> None:
+        """Remove the rows of one batch from a folder; in a catalog table they stay until they are replaced."""
+        for path in self.batch_paths(spark, batch) if self.is_path else ():
+            delete_folder(spark, path)
+
     def exists(self, spark: SparkSession) -> bool:
         if not self.is_path:
             return spark.catalog.tableExists(self.location)
@@ -112,7 +153,11 @@ class Dataset:
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.is_path:
-            return spark.read.schema(self.schema).parquet(self.location)
+            reader = spark.read.schema(self.schema)
+            # Batches that a compaction stands for, but has not deleted yet, are passed over.
+            if self.is_batched and matching_paths(spark, f"{self.location}/*/{BATCH}={FOLDED_NAMES}"):
+                return reader.option("basePath", self.location).parquet(*self.live_folders(spark))
+            return reader.parquet(self.location)
         # A session keeps the file list of a table; streams write in sessions of their own.
         spark.catalog.refreshTable(self.location)
         return spark.table(self.location)
@@ -125,7 +170,8 @@ class Dataset:
 
     def read_stream(self, spark: SparkSession, **options) -> DataFrame:
         """Only the rows that came after the last committed offset of the reading query."""
-        reader = spark.readStream.options(**{k: v for k, v in options.items() if v is not None})
+        reader = spark.readStream.option("maxFileAge", NO_FILE_TOO_OLD)
+        reader = reader.options(**{k: v for k, v in options.items() if v is not None})
         if self.is_path:
             return reader.schema(self.schema).parquet(self.location)
         return reader.table(self.location)
@@ -141,9 +187,7 @@ class Dataset:
         for i in range(0, len(partitions.values), NAMES_AT_ONCE):
             names = ",".join(partitions.values[i : i + NAMES_AT_ONCE])
             if self.is_batched:
-                for batches in self.batch_folders(spark, f"{{{names}}}").values():
-                    old = superseded(list(batches))
-                    folders += [path for n, path in batches.items() if n not in old]
+                folders += self.live_folders(spark, f"{{{names}}}")
             else:
                 folders += matching_paths(spark, f"{self.location}/{key}={{{names}}}")
         if not folders:
@@ -188,9 +232,12 @@ class Dataset:
             # No mode given here: a table would remember it and apply it to every later write.
             writer.format("parquet").saveAsTable(self.location)
 
-    def overwrite_partitions(self, frame: DataFrame) -> None:
-        """Replace exactly the partitions that ``frame`` has rows for; create if missing."""
-        frame = self._arranged(frame)
+    def overwrite_partitions(self, frame: DataFrame, arrange: bool = True) -> None:
+        """Replace exactly the partitions that ``frame`` has rows for; create if missing.
+
+        Without ``arrange`` every task writes its rows as they are: no shuffle, for rows of one partition.
+        """
+        frame = self._arranged(frame) if arrange else self._fitted(frame)
         if self.is_path:
             (
                 frame.write.mode("overwrite")
@@ -207,6 +254,22 @@ class Dataset:
         with dynamic_overwrite(spark):
             frame.write.mode("overwrite").insertInto(self.location)
 
+    def widen(self, spark: SparkSession) -> None:
+        """Add the columns that a catalog table does not have yet; a folder needs none."""
+        if self.is_path or not self.exists(spark):
+            return
+        have = {c.lower() for c in spark.table(self.location).columns}
+        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields if f.name.lower() not in have]
+        if new:
+            spark.sql(f"ALTER TABLE {self.location} ADD COLUMNS ({', '.join(new)})")
+
+    def prepare(self, spark: SparkSession) -> None:
+        """Make the dataset without rows where it is missing, so that a stream can follow it."""
+        if self.is_path:
+            make_folder(spark, self.location)
+        elif not self.exists(spark):
+            self._create(spark)
+
     def _create(self, spark: SparkSession) -> None:
         writer = self.empty(spark).write.format("parquet").partitionBy(*self.partition_by)
         writer.mode("ignore").saveAsTable(self.location)

@@ -2,16 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from dataclasses import replace
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.catalog import Layout
-from millrace.sources.landing import MAX_FILE_AGE, landing_stream
+from millrace.operators.edge import bronze_rows, rescued_names
+from millrace.sinks.fanout import computed_once
+from millrace.sources.backfill import record_files
+from millrace.sources.landing import JSON_FILES, MAX_FILE_AGE, grow_schema, landing_texts, stored_schema, widened
 
 # Take everything that is new, then stop. A long-lived run passes {"processingTime": "10 seconds"}.
 DRAIN = {"availableNow": True}
 
 
+def grown(spark: SparkSession, layout: Layout) -> Layout:
+    """The layout with all columns that bronze has by now: those it declares, then those that came with the data."""
+    stored = stored_schema(spark, layout.schema_store)
+    if stored is None:
+        return layout
+    have = set(layout.landing_schema.names)
+    new = [f for f in stored[1].fields if f.name not in have]
+    return replace(layout, landing_schema=T.StructType([*layout.landing_schema.fields, *new]))
+
+
+def fitted_rows(layout: Layout, texts: DataFrame, write, grow: bool) -> None:
+    """Give ``write`` the bronze rows of some texts and the layout that they are in.
+
+    With ``grow``, names that no column has become columns of text first, so the rows they come in have them.
+    """
+    spark = texts.sparkSession
+    if not grow:
+        write(layout, bronze_rows(texts, layout.landing_schema))
+        return
+    layout = grown(spark, layout)
+    with computed_once(bronze_rows(texts, layout.landing_schema)) as rows:
+        # One row per name, of which there are few.
+        names = [r["name"] for r in rescued_names(rows).collect()]
+        schema = widened(layout.landing_schema, names)
+        if schema == layout.landing_schema:
+            write(layout, rows)
+            return
+    grow_schema(spark, layout.schema_store, schema)
+    write(replace(layout, landing_schema=schema), bronze_rows(texts, schema))
+
+
+def store_landing(layout: Layout, texts: DataFrame, batch_id: int, grow: bool = True) -> None:
+    """Take one batch of landing texts into bronze, then into the ledger of files.
+
+    The rows of a batch appear as one folder, with one rename. When the batch is run again, a folder that is there stays
+    as it is, since other streams may follow its files already; a catalog table's partition is replaced.
+    """
+    spark = texts.sparkSession
+    if not (layout.bronze.is_path and layout.bronze.batch_paths(spark, batch_id)):
+        today = datetime.now(UTC).date().isoformat()
+
+        def write(layout: Layout, rows: DataFrame) -> None:
+            rows = rows.withColumn("ingestion_date", F.lit(today)).withColumn("bid", F.lit(batch_id))
+            layout.bronze.widen(spark)
+            layout.bronze.overwrite_partitions(rows, arrange=False)
+
+        fitted_rows(layout, texts, write, grow)
+    record_files(layout, layout.bronze.read_batch(spark, batch_id), batch_id)
+
+
 def start_bronze(
     spark: SparkSession,
     layout: Layout,
@@ -19,10 +77,22 @@ def start_bronze(
     trigger: dict = DRAIN,
     multi_line: bool = False,
     archive: str | None = None,
-    recursive: bool = False,
+    recursive: bool = True,
     max_file_age: str = MAX_FILE_AGE,
+    grow: bool = True,
+    pattern: str = JSON_FILES,
     **limits: str | int,
 ) -> StreamingQuery:
-    """Append every new JSON file to bronze, once; a later run goes on where this one ended."""
-    rows = landing_stream(spark, landing, layout.landing_schema, multi_line, archive, recursive, max_file_age, **limits)
-    return layout.bronze.append_stream(rows, layout.checkpoint("bronze"), trigger)
+    """Append every new JSON file to bronze, once; a later run goes on where this one ended.
+
+    Nothing is lost: see ``operators.edge``. With ``grow`` a field that is new becomes a column, in the batch that it
+    comes in and from then on; ``grown`` gives the layout with these columns.
+    """
+    layout.bronze.prepare(spark)
+    texts = landing_texts(spark, landing, multi_line, archive, recursive, max_file_age, pattern, **limits)
+    return (
+        texts.writeStream.foreachBatch(lambda batch, batch_id: store_landing(layout, batch, batch_id, grow))
+        .option("checkpointLocation", layout.checkpoint("bronze"))
+        .trigger(**trigger)
+        .start()
+    )

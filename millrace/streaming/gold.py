@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.catalog import STATISTICS, Layout
-from millrace.functions.times import bucket_of_instant, instant
+from millrace.functions.times import bucket_of_instant, in_shards, instant
 from millrace.operators.readings import explode_readings, valid_readings
 from millrace.operators.wide import pivot_readings
 from millrace.operators.windows import (
@@ -37,7 +37,8 @@ SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def with_window_bucket(stats: DataFrame, layout: Layout) -> DataFrame:
-    return stats.withColumn("window_bucket", bucket_of_instant(F.col("window_start"), layout.grain))
+    bucket = bucket_of_instant(F.col("window_start"), layout.grain)
+    return stats.withColumn("window_bucket", in_shards(bucket, "device_id", layout.shards))
 
 
 def replace_windows(layout: Layout, stats: DataFrame) -> None:

@@ -16,7 +16,7 @@ from millrace.streaming.bronze import DRAIN
 
 def readings_of(bronze: DataFrame, layout: Layout) -> DataFrame:
     """Valid readings with their storage partition; the same for a stream and for a batch."""
-    return with_bucket(valid_readings(explode_readings(bronze, layout.order_by)), layout.grain)
+    return with_bucket(valid_readings(explode_readings(bronze, layout.order_by)), layout.grain, layout.shards)
 
 
 def records_of(readings: DataFrame, layout: Layout) -> DataFrame:

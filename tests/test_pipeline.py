@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import STATISTICS, Layout
 from millrace.operators.health import gold_status, layer_status, processing_rate
+from millrace.operators.lookups import of_device
 from millrace.plans import compaction
 from millrace.plans.batch import all_bronze, backfill, gold_of, rebuild, register_views, silver_of
 from millrace.sources import tables
@@ -232,6 +233,33 @@ def test_backfill_adds_what_is_missing_and_can_be_repeated(spark, folder_layout,
     assert gold_rows(spark, layout) == [(1, MINUTE, 2.0)]
 
 
+@pytest.mark.parametrize("layers", [[start_silver, start_gold], [start_silver_and_gold], [start_gold_partials]])
+def test_a_late_row_rebuilds_its_span_and_shard_only(spark, tmp_path, layers):
+    store, landing = tmp_path / "store", tmp_path / "landing"
+    layout = Layout(root=str(store), shards=8)
+    drop(landing, "a.json", [reading(device=d, at=MINUTE + h * 3_600_000, value=d) for d in range(40) for h in range(2)])
+    run(spark, layout, landing, *layers)
+    tables_ = ["silver", "metrics_avg", "metrics_min", "metrics_max", "metrics_stddev"][layers == [start_gold_partials] :]
+
+    def files(name):
+        return {str(p.relative_to(store / name)) for p in (store / name).rglob("*.parquet")}
+
+    before = {t: files(t) for t in tables_}
+    assert all(len({f.split("/")[0] for f in found}) == 16 for found in before.values())
+    drop(landing, "b.json", [reading(device=7, at=MINUTE + 1, value=9)])
+    run(spark, layout, landing, *layers)
+    for table in tables_:
+        changed = {f.split("/")[0] for f in files(table) ^ before[table]}
+        assert len(changed) == 1 and changed.pop().split("=")[1].startswith("2024-01-01T00_")
+    gold = layout.gold("avg").read(spark)
+    assert gold.count() == 80
+    found = of_device(gold, 7, shards=8, bucket="window_bucket")
+    assert [r["Wind_speed"] for r in found.orderBy("window_start").collect()] == [8.0, 7.0]
+    assert {r[0] for r in gold.select("window_bucket").distinct().collect()} == {f"2024-01-01T0{h}_000{s}" for h in (0, 1) for s in range(8)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EndsWith" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
 def test_many_buckets(spark, folder_layout, tmp_path, monkeypatch):
     layout, landing = folder_layout, tmp_path / "landing"
     monkeypatch.setattr(tables, "NAMES_AT_ONCE", 3)
@@ -351,17 +379,21 @@ def test_compaction_changes_no_result(spark, folder_layout, tmp_path, monkeypatc
 
     for value in (1, 2, 30):
         add(value)
-    assert compaction.compact(spark, layout, least=2) == {"readings": 1, "window_partials": 1}
+    folded = compaction.compact(spark, layout, least=2)
+    assert (folded["readings"], folded["window_partials"]) == (1, 1)
     folded = tables.FOLDED
     assert batches(layout.readings) == batches(layout.partials) == [[folded - 1, 2]]
     assert layout.partials.read(spark).where(f"bid = {folded - 1}").count() == 1
-    assert compaction.compact(spark, layout, least=2) == {"readings": 0, "window_partials": 0}
+    assert not any(compaction.compact(spark, layout, least=2).values())
     add(7)
     add(11)
     with monkeypatch.context() as m:
         m.setattr(compaction, "delete_folder", lambda spark, path: None)
         compaction.compact(spark, layout, least=2)
     assert batches(layout.partials) == [[folded - 3, folded - 1, 2, 3, 4]]
+    # A whole read passes over what is not deleted yet, as a read of some partitions does.
+    assert layout.readings.read(spark).count() == len(values)
+    assert sum(r[0] for r in layout.partials.read(spark).select("Wind_speed_n").collect()) == len(values)
     add(13)
     compaction.compact(spark, layout, least=9)
     assert batches(layout.partials) == [[folded - 3, 4, 5]]

@@ -4,11 +4,12 @@ import os
 import pytest
 from pyspark.sql import types as T
 
-from millrace.catalog import LANDING_SCHEMA
+from millrace.catalog import LANDING_SCHEMA, Layout
+from millrace.plans.batch import backfill
 from millrace.session import scratch_folder
 from millrace.sinks.upsert import upsert
 from millrace.sources import tables
-from millrace.sources.backfill import pending_files, pending_rows
+from millrace.sources.backfill import files_in, pending_files, pending_rows
 from millrace.sources.landing import (
     infer_schema,
     landing_batch,
@@ -16,6 +17,7 @@ from millrace.sources.landing import (
     remembered_schema,
 )
 from millrace.sources.tables import Dataset, Partitions
+from millrace.streaming.bronze import start_bronze
 
 
 def put(folder, name, *envelopes):
@@ -89,25 +91,27 @@ def names(frame):
 
 def test_pending_files_by_path_and_by_name(spark, two_folders):
     folder = str(two_folders)
-    nothing = landing_batch(spark, folder, LANDING_SCHEMA, recursive=True).where("false")
-    assert names(pending_files(spark, folder, nothing)) == ["a/x.json", "b/c/y.json", "b/x.json"]
-    assert names(pending_files(spark, folder, nothing, by="name")) == ["a/x.json", "b/c/y.json"]
+    files = files_in(spark, folder)
+    nothing = landing_batch(spark, folder, LANDING_SCHEMA).where("false")
+    assert names(pending_files(files, nothing)) == ["a/x.json", "b/c/y.json", "b/x.json"]
+    assert names(pending_files(files, nothing, by="name")) == ["a/x.json", "b/c/y.json"]
     held = landing_batch(spark, f"{folder}/a", LANDING_SCHEMA)
-    assert names(pending_files(spark, folder, held)) == ["b/c/y.json", "b/x.json"]
-    assert names(pending_files(spark, folder, held, by="name")) == ["b/c/y.json"]
+    assert names(pending_files(files, held)) == ["b/c/y.json", "b/x.json"]
+    assert names(pending_files(files, held, by="name")) == ["b/c/y.json"]
 
 
-def test_pending_rows(spark, two_folders):
-    folder = str(two_folders)
-    held = landing_batch(spark, f"{folder}/a", LANDING_SCHEMA)
-    rows = pending_rows(spark, folder, LANDING_SCHEMA, held)
-    assert rows.columns == ["values", "source_file", "ingestion_time"]
+def test_pending_rows(spark, two_folders, tmp_path):
+    layout, folder = Layout(root=str(tmp_path / "store")), str(two_folders)
+    start_bronze(spark, layout, f"{folder}/a").awaitTermination()
+    rows = pending_rows(spark, layout, folder)
+    assert rows.columns == layout.bronze_schema.names
     assert sorted(names(rows)) == ["b/c/y.json", "b/c/y.json", "b/x.json"]
-    everything = landing_batch(spark, folder, LANDING_SCHEMA, recursive=True)
-    none = pending_rows(spark, folder, LANDING_SCHEMA, everything)
+    assert sorted(names(pending_rows(spark, layout, folder, by="name"))) == ["b/c/y.json", "b/c/y.json"]
+    backfill(spark, layout, folder, load=1)
+    none = pending_rows(spark, layout, folder)
     assert none.count() == 0
     assert none.columns == rows.columns
-    assert "json" not in none._jdf.queryExecution().toString().lower()
+    assert "text" not in none._jdf.queryExecution().toString().lower()
 
 
 SCHEMA = (
@@ -238,13 +242,13 @@ def test_upsert_refuses_repeated_and_moved_keys(spark, dataset):
     assert content(spark, dataset) == [(1, 0, 1.0, "a", "p")]
 
 
-def test_multi_line_files(spark, tmp_path):
+def test_multi_line_arrays(spark, tmp_path):
     (tmp_path / "one.json").write_text(json.dumps({"values": "[]", "site": 1}, indent=2))
     (tmp_path / "two.json").write_text(json.dumps([{"extra": 1}, {"values": "[]"}], indent=2))
     schema = infer_schema(spark, str(tmp_path), multi_line=True)
     assert schema.names == ["extra", "site", "values"]
-    none = landing_batch(spark, str(tmp_path), schema, multi_line=True).where("false")
-    assert pending_rows(spark, str(tmp_path), schema, none, multi_line=True).count() == 3
+    layout = Layout(root=str(tmp_path / "store"), landing_schema=schema)
+    assert pending_rows(spark, layout, str(tmp_path), multi_line=True).count() == 3
 
 
 def test_a_folder_without_names_has_no_schema(spark, tmp_path):
