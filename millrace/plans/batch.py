@@ -12,7 +12,7 @@ from millrace.operators.windows import one_statistic, window_statistics
 from millrace.sinks.fanout import computed_once
 from millrace.operators.readings import explode_readings, valid_readings
 from millrace.sources.backfill import FILES_AT_ONCE, all_bronze, pending_parts, record_files, texts_of
-from millrace.streaming.bronze import fitted_rows
+from millrace.streaming.bronze import store_texts
 from millrace.streaming.gold import (
     gold_kept_by,
     partials_batch,
@@ -78,12 +78,7 @@ def load_part(spark: SparkSession, layout: Layout, texts: DataFrame, load: int,
     """Take the texts of one part up to the metric tables; the ledger last, which says that the part is done."""
     number = part_number(load, part)
 
-    def write(layout: Layout, rows: DataFrame) -> None:
-        layout.backfill.widen(spark)
-        rows = rows.withColumn("load", F.lit(load)).withColumn("part", F.lit(part))
-        layout.backfill.overwrite_partitions(rows, arrange=False)
-
-    fitted_rows(layout, texts, write, grow)
+    store_texts(layout, texts, "backfill", {"load": load, "part": part}, grow)
     # An earlier try may have had other files in this part.
     for dataset in (layout.readings, layout.partials):
         dataset.drop_batch(spark, number)

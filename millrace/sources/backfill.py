@@ -60,7 +60,7 @@ def ledger_bucket(path: str | Column) -> Column:
 def record_files(layout: Layout, rows: DataFrame, batch_id: int) -> None:
     """Enter the files of stored bronze rows into the ledger, under a batch number. Again changes nothing."""
     files = rows.select("source_file").distinct().withColumn("bucket", ledger_bucket("source_file"))
-    layout.ledger.overwrite_partitions(files.withColumn(BATCH, F.lit(batch_id)))
+    layout.ledger.overwrite_partitions(files.withColumn(BATCH, F.lit(batch_id)), arrange=False)
 
 
 def held_files(spark: SparkSession, layout: Layout, files: DataFrame) -> DataFrame:

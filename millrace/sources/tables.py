@@ -70,6 +70,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Put a folder in the place of another; its files appear there at once."""
+    path, to = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(to, True)
+    system.mkdirs(to.getParent())
+    if not system.rename(path, to):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)

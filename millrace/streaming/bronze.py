@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +15,7 @@ from millrace.operators.edge import bronze_rows, rescued_names
 from millrace.sinks.fanout import computed_once
 from millrace.sources.backfill import record_files
 from millrace.sources.landing import JSON_FILES, MAX_FILE_AGE, grow_schema, landing_texts, stored_schema, widened
+from millrace.sources.tables import move_folder
 
 # Take everything that is new, then stop. A long-lived run passes {"processingTime": "10 seconds"}.
 DRAIN = {"availableNow": True}
@@ -30,25 +31,49 @@ def grown(spark: SparkSession, layout: Layout) -> Layout:
     return replace(layout, landing_schema=T.StructType([*layout.landing_schema.fields, *new]))
 
 
-def fitted_rows(layout: Layout, texts: DataFrame, write, grow: bool) -> None:
-    """Give ``write`` the bronze rows of some texts and the layout that they are in.
+def store_texts(layout: Layout, texts: DataFrame, name: str, partition: dict[str, str | int], grow: bool) -> None:
+    """Write the rows of some texts as one partition of ``bronze`` or ``backfill``, in the place of what is there.
 
-    With ``grow``, names that no column has become columns of text first, so the rows they come in have them.
+    With ``grow``, names that no column has become columns of text first, so the rows they come in have them. A folder's
+    rows are written beside it, looked at, and moved in with one rename; a catalog table's are kept while they are.
     """
     spark = texts.sparkSession
-    if not grow:
-        write(layout, bronze_rows(texts, layout.landing_schema))
-        return
-    layout = grown(spark, layout)
-    with computed_once(bronze_rows(texts, layout.landing_schema)) as rows:
+    layout = grown(spark, layout) if grow else layout
+    dataset = getattr(layout, name)
+
+    def rows(schema: T.StructType) -> DataFrame:
+        return bronze_rows(texts, schema)
+
+    def wider(written: DataFrame) -> T.StructType:
         # One row per name, of which there are few.
-        names = [r["name"] for r in rescued_names(rows).collect()]
-        schema = widened(layout.landing_schema, names)
-        if schema == layout.landing_schema:
-            write(layout, rows)
-            return
-    grow_schema(spark, layout.schema_store, schema)
-    write(replace(layout, landing_schema=schema), bronze_rows(texts, schema))
+        return widened(layout.landing_schema, [r["name"] for r in rescued_names(written).collect()])
+
+    schema = layout.landing_schema
+    if dataset.is_path:
+        stage = f"{layout.root}/_staging/{name}"
+        seen = Observation()
+        left = F.count_if(F.col("rescued").isNotNull())
+        observed = rows(schema).observe(seen, F.count("*").alias("rows"), left.alias("left"))
+        observed.write.mode("overwrite").parquet(stage)
+        if grow and seen.get["left"]:
+            schema = wider(spark.read.schema(layout.bronze_schema).parquet(stage))
+            if schema != layout.landing_schema:
+                grow_schema(spark, layout.schema_store, schema)
+                rows(schema).write.mode("overwrite").parquet(stage)
+        if seen.get["rows"]:
+            place = "/".join(f"{k}={v}" for k, v in partition.items())
+            move_folder(spark, stage, f"{dataset.location}/{place}")
+        return
+    with computed_once(rows(schema)) as found:
+        if grow:
+            schema = wider(found)
+        if schema != layout.landing_schema:
+            grow_schema(spark, layout.schema_store, schema)
+            dataset = getattr(replace(layout, landing_schema=schema), name)
+            found = rows(schema)
+        dataset.widen(spark)
+        values = {k: F.lit(v) for k, v in partition.items()}
+        dataset.overwrite_partitions(found.withColumns(values), arrange=False)
 
 
 def store_landing(layout: Layout, texts: DataFrame, batch_id: int, grow: bool = True) -> None:
@@ -60,13 +85,7 @@ def store_landing(layout: Layout, texts: DataFrame, batch_id: int, grow: bool =
     spark = texts.sparkSession
     if not (layout.bronze.is_path and layout.bronze.batch_paths(spark, batch_id)):
         today = datetime.now(UTC).date().isoformat()
-
-        def write(layout: Layout, rows: DataFrame) -> None:
-            rows = rows.withColumn("ingestion_date", F.lit(today)).withColumn("bid", F.lit(batch_id))
-            layout.bronze.widen(spark)
-            layout.bronze.overwrite_partitions(rows, arrange=False)
-
-        fitted_rows(layout, texts, write, grow)
+        store_texts(layout, texts, "bronze", {"ingestion_date": today, "bid": batch_id}, grow)
     record_files(layout, layout.bronze.read_batch(spark, batch_id), batch_id)
 
 
