@@ -94,7 +94,8 @@ class Layout:
     the layers. ``whole_seconds`` is the compatibility form of silver: times cut to
     seconds and one record per device and second. ``order_by`` names the bronze columns that say
     which of two readings of the same device, metric and instant came first; the position in the
-    envelope follows them.
+    envelope follows them. With ``figures`` the streams keep figures beside each partition of silver and gold, so that reports
+    do not read the layers.
     """
 
     root: str
@@ -107,6 +108,7 @@ class Layout:
     window: str = DEFAULT_WINDOW
     watermark: str = DEFAULT_WATERMARK
     whole_seconds: bool = False
+    figures: bool = False
     numeric: list[str] = field(init=False, compare=False)
 
     def __post_init__(self):
@@ -127,7 +129,7 @@ class Layout:
         sort_by: tuple[str, ...] = (),
     ) -> Dataset:
         location = f"{self.database}.{name}" if self.database else f"{self.root}/{name}"
-        return Dataset(location, schema, partition_by, sort_by)
+        return Dataset(location, schema, partition_by, sort_by, tuple(c for c in sort_by if c == "device_id"))
 
     @property
     def schema_store(self) -> str:
@@ -261,6 +263,20 @@ class Layout:
         parts, order = ("window_bucket", "bid"), ("device_id", "window_start")
         return self._dataset("window_partials", self.partials_schema, parts, order)
 
+    @property
+    def silver_figures(self) -> Dataset:
+        return self._dataset("silver_figures", self.figures_schema("event_bucket"), ("event_bucket",))
+
+    @property
+    def gold_figures(self) -> Dataset:
+        """One for all metric tables, which have the same windows."""
+        return self._dataset("metrics_figures", self.figures_schema("window_bucket"), ("window_bucket",))
+
+    def figures_schema(self, bucket: str) -> T.StructType:
+        fields = [("kind", T.StringType()), ("part", T.LongType()), ("bits", T.BinaryType()), ("n", T.LongType())]
+        fields += [("earliest", T.TimestampType()), ("latest", T.TimestampType()), (bucket, T.StringType())]
+        return T.StructType([T.StructField(n, t) for n, t in fields])
+
     def gold(self, statistic: str) -> Dataset:
         parts, order = ("window_bucket",), ("device_id", "window_start")
         return self._dataset(f"metrics_{statistic}", self.gold_schema(statistic), parts, order)

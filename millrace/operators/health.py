@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog import STATISTICS, Layout
+from millrace.operators.figures import totals
 from millrace.sources.backfill import all_bronze
 
 # Fixed value: how much of an error text a status row shows.
@@ -62,7 +63,16 @@ def layer_status(spark: SparkSession, layout: Layout, run: bool = True) -> DataF
         return layer_summary(bronze_rows(), "Bronze", "ingestion_time", devices=False)
 
     def silver():
-        return layer_summary(layout.silver.read(spark), "Silver", "event_time", devices=True)
+        if not layout.figures:
+            return layer_summary(layout.silver.read(spark), "Silver", "event_time", devices=True)
+        stored = totals(layout.silver_figures.read(spark), ["device"])
+        return stored.select(
+            F.lit("Silver").alias("layer"),
+            F.col("n").alias("total_records"),
+            F.col("device").alias("unique_devices"),
+            F.col("latest").alias("latest_timestamp"),
+            F.lit("OK").alias("status"),
+        )
 
     return guarded(spark, "Bronze", bronze, run).unionByName(guarded(spark, "Silver", silver, run))
 
@@ -125,6 +135,17 @@ def gold_status(spark: SparkSession, layout: Layout) -> DataFrame:
 
     def row(statistic: str) -> DataFrame:
         table, name = layout.gold(statistic), statistic.upper()
+        if layout.figures and layout.gold_figures.exists(spark):
+            stored = totals(layout.gold_figures.read(spark), ["device", "window"])
+            return stored.select(
+                F.lit(name).alias("metric"),
+                F.col("n").alias("total_records"),
+                F.col("device").alias("unique_devices"),
+                F.col("window").alias("time_windows"),
+                F.col("earliest").alias("earliest_window"),
+                F.col("latest").alias("latest_window"),
+                F.when(F.col("n") > 0, "active").otherwise("empty").alias("status"),
+            )
         if table.exists(spark):
             return gold_summary(table.read(spark), name)
         return spark.createDataFrame([(name, 0, 0, 0, None, None, "missing")], GOLD_STATUS)

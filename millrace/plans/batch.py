@@ -14,13 +14,14 @@ from millrace.operators.readings import explode_readings, valid_readings
 from millrace.sources.backfill import FILES_AT_ONCE, all_bronze, pending_parts, record_files, texts_of
 from millrace.streaming.bronze import store_texts
 from millrace.streaming.gold import (
+    gold_figures,
     gold_kept_by,
     partials_batch,
     partials_of,
     recompute_windows,
     with_window_bucket,
 )
-from millrace.streaming.silver import readings_of, records_of, store_batch
+from millrace.streaming.silver import readings_of, records_of, silver_figures, store_batch
 
 # Batch numbers below zero belong to batch jobs; streams count from zero.
 REBUILD = -1
@@ -60,10 +61,14 @@ def rebuild(spark: SparkSession, layout: Layout) -> None:
     layout.readings.overwrite(readings.withColumn("bid", F.lit(REBUILD)))
     stored = layout.readings.read(spark)
     layout.silver.overwrite(records_of(stored, layout))
+    if layout.figures:
+        layout.silver_figures.overwrite(silver_figures(layout.silver.read(spark)))
     stats = gold_of(layout.silver.read(spark), layout)
     with computed_once(with_window_bucket(stats, layout)) as stats:
         for statistic in STATISTICS:
             layout.gold(statistic).overwrite(one_statistic(stats, statistic))
+        if layout.figures:
+            layout.gold_figures.overwrite(gold_figures(layout, stats))
     if layout.partials.exists(spark):
         readings = valid_readings(explode_readings(bronze, layout.order_by))
         layout.partials.overwrite(partials_of(layout, readings, REBUILD))

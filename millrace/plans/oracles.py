@@ -139,4 +139,15 @@ CASE WHEN event_id % 2 = 1 THEN CAST(json(props) AS VARCHAR) END AS details, tru
     "window_sharded_stream": stacked(EXACT),
     "window_partials_stream": stacked(EXACT),
     "window_native_stream": stacked(EXACT),
+    "native_open_windows": """SELECT DISTINCT user_id AS device_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start,
+CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 1 HOUR AS window_end, watermark FROM events,
+(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 30 SECOND AS watermark FROM events)
+WHERE CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 1 HOUR > watermark""",
+    "stored_status": f"""SELECT 'Silver' AS metric, count(*) AS total_records, count(DISTINCT device_id) AS unique_devices,
+CAST(NULL AS BIGINT) AS time_windows, max(event_time) AS latest FROM ({EXACT}) UNION ALL """
+    + " UNION ALL ".join(
+        f"""SELECT '{s.upper()}', count(*), count(DISTINCT device_id), count(DISTINCT window_start), max(window_start)
+FROM ({windows(EXACT, "hour", one(s))})"""
+        for s in STATISTICS
+    ),
 }

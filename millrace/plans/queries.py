@@ -13,14 +13,17 @@ from millrace.functions.casts import lenient_cast
 from millrace.functions.parsing import json_field
 from millrace.functions.times import instant, millis_of_ntz, ntz, whole_second_instant
 from millrace.operators.health import (
+    gold_status,
     gold_summary,
     guarded,
+    layer_status,
     layer_summary,
     rates,
     union_all,
 )
 from millrace.operators.lookups import device_counts, of_device, ordered, schema_report
 from millrace.operators.readings import explode_readings, reading_quality, valid_readings
+from millrace.operators.state import open_windows
 from millrace.operators.wide import keep_first, pivot_readings, whole_second_records
 from millrace.operators.windows import (
     merge_partials,
@@ -343,7 +346,8 @@ def window_recompute_stream(spark: SparkSession, sf: str) -> DataFrame:
 def window_sharded_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Partitions of a day and a shard of the devices; the late third of each hour rebuilds those it falls into."""
     layout = event_layout(spark, "sharded", shards=2)
-    drop_and_drain(spark, layout, by_third_of_hour(telemetry(spark, sf)), start_silver_and_gold)
+    late, *others = by_third_of_hour(telemetry(spark, sf))
+    drop_and_drain(spark, layout, [union_all(others), late], start_silver_and_gold)
     return gold_tables(spark, layout)
 
 
@@ -374,6 +378,26 @@ def backfilled(name: str, *layers: Callable) -> Query:
     return query
 
 
+def stored_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Status of silver and gold from figures kept by the streams; late rows came in between."""
+    layout = event_layout(spark, "figures", figures=True)
+    drop_and_drain(spark, layout, by_third_of_hour(telemetry(spark, sf)), start_silver_and_gold)
+    silver = layer_status(spark, layout, run=False).where("layer = 'Silver'").select(
+        F.col("layer").alias("metric"), "total_records", "unique_devices", F.col("latest_timestamp").alias("latest")
+    )
+    gold = gold_status(spark, layout).select(
+        "metric", "total_records", "unique_devices", "time_windows", F.col("latest_window").alias("latest")
+    )
+    return shown(silver.unionByName(gold, allowMissingColumns=True))
+
+
+def native_open_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """The windows in the state of the native stream after its last batch, and its watermark."""
+    layout = event_layout(spark, "open")
+    drop_and_drain(spark, layout, in_time_order(telemetry(spark, sf), 2), start_gold_native)
+    return shown(open_windows(spark, layout))
+
+
 def gold_tables(spark: SparkSession, layout: Layout) -> DataFrame:
     """The four metric tables stacked, with the name of the statistic."""
     return union_all(
@@ -418,4 +442,6 @@ QUERIES: dict[str, Query] = {
     "window_sharded_stream": window_sharded_stream,
     "window_partials_stream": window_partials_stream,
     "window_native_stream": window_native_stream,
+    "native_open_windows": native_open_windows,
+    "stored_status": stored_status,
 }

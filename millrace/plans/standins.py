@@ -104,7 +104,7 @@ def landing_of(layout: Layout) -> str:
     return f"{layout.root}/landing"
 
 
-def event_layout(spark: SparkSession, name: str, window: str = "1 hour", shards: int = 1) -> Layout:
+def event_layout(spark: SparkSession, name: str, window: str = "1 hour", **more) -> Layout:
     return Layout(
         root=scratch_folder(spark, name),
         catalog=EVENT_METRICS,
@@ -112,7 +112,7 @@ def event_layout(spark: SparkSession, name: str, window: str = "1 hour", shards:
         order_by=("sequence",),
         grain="day",
         window=window,
-        shards=shards,
+        **more,
     )
 
 

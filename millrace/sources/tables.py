@@ -106,6 +106,8 @@ class Dataset:
     partition_by: tuple[str, ...] = ()
     # Order of the rows in a file: lets a scan for one device skip most row groups.
     sort_by: tuple[str, ...] = ()
+    # Columns with Bloom filters in the files of a folder: a look-up of a value that a file lacks skips it.
+    find_by: tuple[str, ...] = ()
 
     @property
     def is_path(self) -> bool:
@@ -204,6 +206,10 @@ class Dataset:
             return self.empty(spark)
         return spark.read.schema(self.schema).option("basePath", self.location).parquet(*folders)
 
+    @property
+    def _file_options(self) -> dict[str, str]:
+        return {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.find_by}
+
     def _fitted(self, frame: DataFrame) -> DataFrame:
         return frame.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
 
@@ -237,7 +243,7 @@ class Dataset:
         """Replace the whole dataset, also the partitions that the new rows do not have."""
         writer = self._arranged(frame).write.mode("overwrite").partitionBy(*self.partition_by)
         if self.is_path:
-            writer.option("partitionOverwriteMode", "static").parquet(self.location)
+            writer.options(partitionOverwriteMode="static", **self._file_options).parquet(self.location)
         else:
             # No mode given here: a table would remember it and apply it to every later write.
             writer.format("parquet").saveAsTable(self.location)
@@ -251,7 +257,7 @@ class Dataset:
         if self.is_path:
             (
                 frame.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
+                .options(partitionOverwriteMode="dynamic", **self._file_options)
                 .partitionBy(*self.partition_by)
                 .parquet(self.location)
             )

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.catalog import STATISTICS, Layout
-from millrace.functions.times import bucket_of_instant, in_shards, instant
+from millrace.functions.times import bucket_of_instant, in_shards, instant, interval_seconds
+from millrace.operators.figures import figures
 from millrace.operators.readings import explode_readings, valid_readings
 from millrace.operators.wide import pivot_readings
 from millrace.operators.windows import (
@@ -53,6 +54,14 @@ def replace_windows(layout: Layout, stats: DataFrame) -> None:
         first, *others = STATISTICS
         write(first)
         side_by_side(stats.sparkSession, [partial(write, s) for s in others])
+        if layout.figures:
+            layout.gold_figures.overwrite_partitions(gold_figures(layout, stats))
+
+
+def gold_figures(layout: Layout, windows: DataFrame) -> DataFrame:
+    """Figures of the windows in any of the metric tables; a window counts by its place in time."""
+    number = F.floor(F.unix_millis("window_start") / (1_000 * interval_seconds(layout.window)))
+    return figures(windows, "window_bucket", "window_start", {"device": F.col("device_id"), "window": number})
 
 
 def upsert_windows(layout: Layout, stats: DataFrame) -> None:
@@ -66,6 +75,9 @@ def upsert_windows(layout: Layout, stats: DataFrame) -> None:
             upsert(layout.gold(statistic), one_statistic(stats, statistic), WINDOW_KEY, touched, fixed_partition=True)
 
         side_by_side(stats.sparkSession, [partial(write, s) for s in STATISTICS])
+        if layout.figures:
+            rebuilt = layout.gold(STATISTICS[0]).read_partitions(stats.sparkSession, touched)
+            layout.gold_figures.overwrite_partitions(gold_figures(layout, rebuilt))
 
 
 def recompute_windows(spark: SparkSession, layout: Layout, touched: Partitions) -> None:

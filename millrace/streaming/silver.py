@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.catalog import Layout
+from millrace.operators.figures import figures
 from millrace.operators.readings import explode_readings, valid_readings, with_bucket
 from millrace.operators.wide import whole_second_records, wide_records
 from millrace.sinks.fanout import computed_once
@@ -25,6 +26,10 @@ def records_of(readings: DataFrame, layout: Layout) -> DataFrame:
     return whole_second_records(wide) if layout.whole_seconds else wide
 
 
+def silver_figures(silver: DataFrame) -> DataFrame:
+    return figures(silver, "event_bucket", "event_time", {"device": F.col("device_id")})
+
+
 def store_batch(
     layout: Layout, readings: DataFrame, batch_id: int, announce: bool = True
 ) -> Partitions:
@@ -44,6 +49,9 @@ def store_batch(
         layout.readings.overwrite_partitions(batch)
         stored = layout.readings.read_partitions(spark, touched)
         layout.silver.overwrite_partitions(records_of(stored, layout))
+        if layout.figures:
+            rebuilt = layout.silver.read_partitions(spark, touched)
+            layout.silver_figures.overwrite_partitions(silver_figures(rebuilt))
         if announce:
             layout.changes.append(touched.frame.withColumn("bid", F.lit(batch_id)).coalesce(1))
         return touched
