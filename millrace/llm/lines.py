@@ -8,6 +8,9 @@ the document with the smallest id, which keeps its lines.
 Where verbatim_tokens is given, lines that recur word for word go as well, whatever their share of digits: from two
 documents on if they have so many tokens, else from min_docs on.
 
+With a column ``group`` in docs, the documents of one group count as one, and keep or lose a line together; the one with the
+smallest id stands for it. So copies and near copies stay what they are.
+
 Only lines in leaves that enough documents reach are looked at token by token, each different line once.
 Null text stays null. Empty text has one empty line, which is kept, as all lines below min_tokens are. Rows with the
 same id and text are one document. Null ids come first. Empty table: no rows.
@@ -37,17 +40,18 @@ def _identity(text: Column) -> Column:
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth: int = 3, similarity: float = 0.5, verbatim_tokens: int | None = None) -> DataFrame:
-    """(doc_id, hash of the text, positions of dropped lines) of documents that lose lines. docs: doc_id, text."""
-    docs = docs.select("doc_id", "text", _identity(F.col("text")).alias("h"))
-    cut = docs.where("text IS NOT NULL").select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    """(doc_id, hash of the text, positions of dropped lines) of documents that lose lines. docs: doc_id, text, perhaps group."""
+    group = ["group"] if "group" in docs.columns else []
+    docs = docs.select("doc_id", "text", _identity(F.col("text")).alias("h"), *group)
+    cut = docs.where("text IS NOT NULL").select("doc_id", "h", *group, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     # What a line says, where its tokens with a digit do not tell.
     said = F.when(F.col("line").rlike("[0-9]"), F.unhex(F.md5(F.col("line").cast("binary"))))
     said = [] if verbatim_tokens is None else [said.alias("said")]
-    cut = cut.select("doc_id", "h", "pos", tokens_of(F.col("line")).alias("tokens"), *said)
+    cut = cut.select("doc_id", "h", *group, "pos", tokens_of(F.col("line")).alias("tokens"), *said)
     # Short lines are left out only afterwards: a filter here would cut each line into tokens twice.
     lines = written(
         cut.select(
-            "doc_id", "h", "pos", F.size("tokens").alias("n"),
+            "doc_id", "h", *group, "pos", F.size("tokens").alias("n"),
             F.xxhash64(F.size("tokens"), F.array_join(F.slice("tokens", 1, depth), " ")).alias("leaf"),
             F.unhex(F.md5(F.array_join("tokens", " ").cast("binary"))).alias("line"),
             *["said"][: len(said)],
@@ -55,6 +59,9 @@ def dropped_lines(docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth
         "lines",
     ).where(F.col("n") >= min_tokens)
     in_docs = lines.groupBy("leaf", "line", "doc_id", "h").agg(F.min("pos").alias("pos"))
+    if group:
+        in_docs = lines.groupBy("leaf", "line", "group").agg(F.min(F.struct("doc_id", "h", "pos")).alias("at"))
+        in_docs = in_docs.select("leaf", "line", "group", "at.*")
     per_line = in_docs.groupBy("leaf", "line").agg(
         F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "h", "pos")).alias("at")
     )
@@ -82,25 +89,38 @@ def dropped_lines(docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth
         .select("leaf", "line", F.unhex(F.md5(F.concat_ws(" ", F.col("leaf").cast("string"), "template").cast("binary"))).alias("template"))
     )
     templates = written(templates, "templates")
-    of_doc = in_docs.join(templates, ["leaf", "line"]).groupBy("template", "doc_id", "h").agg(F.lit(1).alias("one"))
+    of_doc = one_each(in_docs.join(templates, ["leaf", "line"]), ["template"], group)
     recurring = (
-        of_doc.groupBy("template").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "h")).alias("first"))
+        of_doc.groupBy("template").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "h", *group)).alias("first"))
         .where(F.col("n") >= min_docs).select("template", "first")
     )
     spent = templates.join(recurring, "template").select("leaf", "line", "first")
-    gone = lines.join(spent, ["leaf", "line"]).where(~F.struct("doc_id", "h").eqNullSafe(F.col("first")))
+    gone = lines.join(spent, ["leaf", "line"]).where(is_another(group))
     if verbatim_tokens is not None:
-        gone = gone.select("doc_id", "h", "pos").unionAll(verbatim(lines, min_docs, verbatim_tokens))
+        gone = gone.select("doc_id", "h", "pos").unionAll(verbatim(lines, min_docs, verbatim_tokens, group))
     return gone.groupBy("doc_id", "h").agg(F.collect_set("pos").alias("gone"))
 
 
-def verbatim(lines: DataFrame, min_docs: int, long: int) -> DataFrame:
+def one_each(rows: DataFrame, keys: list[str], group: list[str], *more: Column) -> DataFrame:
+    """One row per key and document, or per key and group with its smallest id."""
+    if not group:
+        return rows.groupBy(*keys, "doc_id", "h").agg(*more or [F.lit(1).alias("one")])
+    rows = rows.groupBy(*keys, *group).agg(F.min(F.struct("doc_id", "h")).alias("least"), *more)
+    return rows.select("*", "least.*")
+
+
+def is_another(group: list[str]) -> Column:
+    """Whether a line's document, or its group, is another than the first."""
+    return F.col("group") != F.col("first.group") if group else ~F.struct("doc_id", "h").eqNullSafe(F.col("first"))
+
+
+def verbatim(lines: DataFrame, min_docs: int, long: int, group: list[str]) -> DataFrame:
     """(doc_id, h, pos) of lines that recur word for word, but for those of the document with the smallest id."""
-    lines = lines.select("doc_id", "h", "pos", "n", F.coalesce("said", "line").alias("said"))
-    per = lines.groupBy("said", "doc_id", "h").agg(F.max("n").alias("n"))
-    per = per.groupBy("said").agg(F.count("*").alias("docs"), F.max("n").alias("n"), F.min(F.struct("doc_id", "h")).alias("first"))
+    lines = lines.select("doc_id", "h", *group, "pos", "n", F.coalesce("said", "line").alias("said"))
+    per = one_each(lines, ["said"], group, F.max("n").alias("n"))
+    per = per.groupBy("said").agg(F.count("*").alias("docs"), F.max("n").alias("n"), F.min(F.struct("doc_id", "h", *group)).alias("first"))
     per = per.where((F.col("docs") >= min_docs) | (F.col("docs") >= 2) & (F.col("n") >= long)).select("said", "first")
-    gone = lines.join(per, "said").where(~F.struct("doc_id", "h").eqNullSafe(F.col("first")))
+    gone = lines.join(per, "said").where(is_another(group))
     return gone.select("doc_id", "h", "pos")
 
 
@@ -110,9 +130,12 @@ def _with(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
     return docs.join(more, docs["doc_id"].eqNullSafe(more["_id"]) & (docs["h"] == more["_h"]), how).drop("_id", "_h")
 
 
-def without_recurring(docs: DataFrame, **settings) -> DataFrame:
-    """doc_id, n_lines, n_dropped, text (what is left of it) and row (the whole input row) of every row."""
-    dropped = dropped_lines(docs.select("doc_id", "text"), **settings)
+def without_recurring(docs: DataFrame, grouped: DataFrame | None = None, **settings) -> DataFrame:
+    """doc_id, n_lines, n_dropped, text (what is left of it) and row (the whole input row) of every row.
+
+    grouped: doc_id, text and group of the same rows, where documents of a group count as one.
+    """
+    dropped = dropped_lines(docs.select("doc_id", "text") if grouped is None else grouped, **settings)
     rows = docs.select("doc_id", _identity(F.col("text")).alias("h"), F.struct(*docs.columns).alias("row"))
     rows = _with(rows, small(written(dropped, "dropped"), BROADCAST_ROWS), "left").withColumn("lines", F.split("row.text", "\n"))
     kept = F.filter("lines", lambda line, i: ~F.array_contains(F.col("gone"), i))
