@@ -28,8 +28,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines go; a document that had words and has none left goes too. n_chars follows the text."""
-    cleaned = without_recurring(docs, verbatim_tokens=VERBATIM_TOKENS)
+    """Recurring lines go; a document that had words and has none left goes too. n_chars follows the text.
+
+    Copies of one text count as one document, so that the next stage still finds them whole.
+    """
+    grouped = docs.select("doc_id", "text", text_key().alias("group"))
+    cleaned = without_recurring(docs, grouped, verbatim_tokens=VERBATIM_TOKENS)
     left = cleaned.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") == 0, F.col("row.n_chars")).otherwise(F.length("text"))}
     return left.select(*[new[c].cast(t).alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c, t in docs.dtypes])
