@@ -86,3 +86,32 @@ def test_classes_of_repeated_and_missing_ids(spark, tmp_path):
 def test_an_empty_table_passes(spark, tmp_path):
     folder = stored(spark, tmp_path, documents=documents(spark).where("false"))
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_no_copy_is_torn(spark, tmp_path):
+    """Of copies in the input, whatever lines they share, one stays, and whole; other documents lose their passage."""
+    line = lambda name: " ".join(f"{name}{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(55))
+    copied = "\n".join(line(f"x{chr(97 + i)}") for i in range(12)) + "\n" + line("sh")
+    rows = [(1, copied), (2, copied), (None, copied), (5, line("p") + "\n" + line("sh")), (6, line("q") + "\n" + line("xa"))]
+    docs = written(spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long"), "docs")
+    clean = written(corpus_pipeline.line_dedup(spark, docs, str(tmp_path)), "clean")
+    found = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert found == {1: copied, 2: copied, None: copied, 5: line("p"), 6: line("q")}
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.ngram_jaccard(spark, clean, str(tmp_path)).collect()}
+    assert kept == {1: copied, 5: line("p"), 6: line("q")}
+
+
+def test_of_every_group_of_copies_in_the_input_one_stays(spark, tmp_path):
+    """Exact copies of one text that language identification keeps: one is left. Pairs that are alike: most lose one member."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    known = written(corpus_pipeline.language_id(spark, docs, str(tmp_path)), "known")
+    rows = [(r["doc_id"], r["text"]) for r in known.collect()]
+    clean = written(corpus_pipeline.line_dedup(spark, known, str(tmp_path)), "clean")
+    kept = {r["doc_id"] for r in corpus_pipeline.ngram_jaccard(spark, clean, str(tmp_path)).collect()}
+    copies = Counter(t for _, t in rows)
+    left = Counter(t for i, t in rows if i in kept and copies[t] > 1)
+    assert len(left) > 20
+    assert max(left.values()) == 1
+    alike = Counter(c for (i, _), (c, links) in zip(rows, near_classes(rows), strict=True) if links and i in kept)
+    print("left of classes", sorted(alike.values()))
+    assert sum(n > 1 for n in alike.values()) <= 0.15 * len(alike)
