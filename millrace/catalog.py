@@ -69,17 +69,15 @@ DEFAULT_WATERMARK = "30 seconds"
 # The columns that are never metrics, and the types of those that get statistics.
 NOT_METRICS = frozenset({"device_id", "event_time", "inserted_at"})
 NUMERIC_TYPES = (T.DoubleType, T.IntegerType, T.FloatType, T.LongType)
+NUMERIC_NAMES = frozenset(t.typeName() for t in NUMERIC_TYPES)
 
 LANDING_SCHEMA = T.StructType([T.StructField("values", T.StringType())])
 
 
 def numeric_columns(schema: T.StructType) -> list[str]:
     """Columns that get window statistics: double, int, float or long, and not a key or stamp."""
-    return [
-        f.name
-        for f in schema.fields
-        if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in NOT_METRICS
-    ]
+    types = {f.name: f.dataType.typeName() for f in schema.fields}
+    return [name for name, kind in types.items() if kind in NUMERIC_NAMES and name not in NOT_METRICS]
 
 
 @dataclass(frozen=True)
@@ -233,8 +231,12 @@ class Layout:
 
     @property
     def ledger(self) -> Dataset:
-        """The files that bronze holds, by a hash of their bare name, written with each batch and load."""
-        fields = [("source_file", T.StringType()), ("bucket", T.StringType()), ("bid", T.LongType())]
+        """The files that bronze holds, by a hash of their bare name, written with each batch and load.
+
+        ``n`` is the number of rows of a file; with ``figures``, ``readings`` is that of the readings in them.
+        """
+        fields = [("source_file", T.StringType()), ("n", T.LongType()), ("readings", T.LongType())]
+        fields += [("bucket", T.StringType()), ("bid", T.LongType())]
         return self._dataset("bronze_files", T.StructType([T.StructField(n, t) for n, t in fields]), ("bucket", "bid"))
 
     @property

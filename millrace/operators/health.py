@@ -112,6 +112,22 @@ def processing_rate(bronze: DataFrame, silver: DataFrame, stored_readings: DataF
     )
 
 
+def layout_rate(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The processing rate of a layout; with its figures, from the ledger and the figures of silver, without bronze.
+
+    The readings that are stored are counted by the footers of their files in either case.
+    """
+    stored = layout.readings.read(spark)
+    if not layout.figures:
+        return processing_rate(all_bronze(spark, layout), layout.silver.read(spark), stored)
+    taken = F.sum("n").alias("bronze_records"), F.sum("readings").alias("bronze_readings")
+    return rates(
+        layout.ledger.read(spark).agg(*taken),
+        totals(layout.silver_figures.read(spark), ["device"]).select(F.col("n").alias("silver_records")),
+        stored.agg(F.count("*").alias("silver_readings")),
+    )
+
+
 def gold_summary(metrics: DataFrame, metric: str) -> DataFrame:
     return metrics.agg(
         F.count("*").alias("total_records"),

@@ -65,15 +65,17 @@ def _named(grouped: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def one_statistic(stats: DataFrame, statistic: str) -> DataFrame:
-    """The columns of one statistic under the plain metric names."""
-    ending = f"_{statistic}"
-    mine = [c for c in stats.columns if c.endswith(ending)]
-    return stats.select(
-        *WINDOW_KEYS,
-        *[F.col(c).alias(c.removesuffix(ending)) for c in mine],
-        *[c for c in ("inserted_at", "window_bucket") if c in stats.columns],
-    )
+def metrics_in(stats: DataFrame) -> list[str]:
+    """The metrics that a frame has every statistic of, in its order."""
+    have, names = set(stats.columns), [c.rpartition("_")[0] for c in stats.columns]
+    return [n for n in dict.fromkeys(names) if all(f"{n}_{s}" in have for s in STATISTICS)]
+
+
+def one_statistic(stats: DataFrame, statistic: str, metrics: list[str] | None = None) -> DataFrame:
+    """Key, window and stamps, and one statistic of the metrics under their own names."""
+    chosen = {n: f"{n}_{statistic}" for n in (metrics_in(stats) if metrics is None else metrics)}
+    stamps = [c for c in ("inserted_at", "window_bucket") if c in stats.columns]
+    return stats.select(*WINDOW_KEYS, *[F.col(c).alias(n) for n, c in chosen.items()], *stamps)
 
 
 def window_partials(wide: DataFrame, window: str, names: list[str]) -> DataFrame:

@@ -66,7 +66,7 @@ def rebuild(spark: SparkSession, layout: Layout) -> None:
     stats = gold_of(layout.silver.read(spark), layout)
     with computed_once(with_window_bucket(stats, layout)) as stats:
         for statistic in STATISTICS:
-            layout.gold(statistic).overwrite(one_statistic(stats, statistic))
+            layout.gold(statistic).overwrite(one_statistic(stats, statistic, layout.numeric))
         if layout.figures:
             layout.gold_figures.overwrite(gold_figures(layout, stats))
     if layout.partials.exists(spark):

@@ -53,6 +53,14 @@ EVENT_COLUMNS = {
     "props": "string",
 }
 
+RATE = f"""SELECT *, round(silver_records / bronze_records * 100, 1) AS processing_rate,
+bronze_records - silver_records AS records_pending,
+round(silver_readings / bronze_readings * 100, 1) AS reading_rate,
+bronze_readings - silver_readings AS readings_pending
+FROM (SELECT (SELECT count(DISTINCT event_id // {ENVELOPE_IDS}) FROM events) AS bronze_records,
+(SELECT count(*) FROM ({HOURLY})) AS silver_records,
+(SELECT count(*) FROM events) AS bronze_readings, (SELECT count(*) FROM events) AS silver_readings)"""
+
 ORACLES: dict[str, str] = {
     "medallion_batch": windows(EXACT, "hour", statistics()),
     "json_scalar_extract": "SELECT event_id, CAST(props->>'k' AS INTEGER) AS k FROM events",
@@ -104,13 +112,8 @@ FROM events) WHERE place = 1""",
 CAST(NULL AS BIGINT) AS unique_devices, max(ts) AS latest_timestamp, 'OK' AS status FROM events
 UNION ALL SELECT 'Silver', count(*), count(DISTINCT device_id), max(event_time), 'OK' FROM ({HOURLY})
 UNION ALL SELECT 'Missing', 0, NULL, NULL, 'Error: [TABLE_OR_VIEW_NOT_FOUND] The table or view `absen'""",
-    "processing_rate": f"""SELECT *, round(silver_records / bronze_records * 100, 1) AS processing_rate,
-bronze_records - silver_records AS records_pending,
-round(silver_readings / bronze_readings * 100, 1) AS reading_rate,
-bronze_readings - silver_readings AS readings_pending
-FROM (SELECT (SELECT count(DISTINCT event_id // {ENVELOPE_IDS}) FROM events) AS bronze_records,
-(SELECT count(*) FROM ({HOURLY})) AS silver_records,
-(SELECT count(*) FROM events) AS bronze_readings, (SELECT count(*) FROM events) AS silver_readings)""",
+    "processing_rate": RATE,
+    "stored_rate": RATE,
     "gold_status": " UNION ALL ".join(
         f"""SELECT '{s.upper()}' AS metric, count(*) AS total_records, count(DISTINCT device_id) AS unique_devices,
 count(DISTINCT window_start) AS time_windows, min(window_start) AS earliest_window,

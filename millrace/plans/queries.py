@@ -18,6 +18,7 @@ from millrace.operators.health import (
     guarded,
     layer_status,
     layer_summary,
+    layout_rate,
     rates,
     union_all,
 )
@@ -391,6 +392,13 @@ def stored_status(spark: SparkSession, sf: str) -> DataFrame:
     return shown(silver.unionByName(gold, allowMissingColumns=True))
 
 
+def stored_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """The processing rate from the ledger and the figures of silver; bronze is not read."""
+    layout = event_layout(spark, "rate", figures=True)
+    drop_and_drain(spark, layout, [telemetry(spark, sf, hourly=True)], start_silver)
+    return layout_rate(spark, layout)
+
+
 def native_open_windows(spark: SparkSession, sf: str) -> DataFrame:
     """The windows in the state of the native stream after its last batch, and its watermark."""
     layout = event_layout(spark, "open")
@@ -444,4 +452,5 @@ QUERIES: dict[str, Query] = {
     "window_native_stream": window_native_stream,
     "native_open_windows": native_open_windows,
     "stored_status": stored_status,
+    "stored_rate": stored_rate,
 }

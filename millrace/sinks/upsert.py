@@ -9,13 +9,18 @@ from millrace.sinks.fanout import computed_once
 from millrace.sources.tables import Dataset, Partitions
 
 
-def merged(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+# Source rows whose keys are sent to every executor, so that the target is not shuffled to be matched.
+BROADCAST_ROWS = 500_000
+
+
+def merged(target: DataFrame, source: DataFrame, keys: list[str], few: bool = False) -> DataFrame:
     """Source rows, and the target rows whose key the source does not have.
 
     A matched row is replaced whole. Keys are compared null-safely: a null key matches a null key.
-    ``source`` must have one row per key.
+    ``source`` must have one row per key. If it has ``few`` rows, the target stays where it is.
     """
-    t, s = target.alias("t"), source.select(*keys).alias("s")
+    s = source.select(*keys)
+    t, s = target.alias("t"), (F.broadcast(s) if few else s).alias("s")
     same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     kept = t.join(s, on=_all(same), how="left_anti")
     return kept.unionByName(source.select(target.columns))
@@ -45,9 +50,10 @@ def upsert(
     spark = source.sparkSession
     by = dataset.partition_by[0]
     with computed_once(source) as source:
-        twice = source.groupBy(*keys).count().where("count > 1").limit(1).collect()
-        if twice:
-            raise ValueError(f"a key comes more than once: {twice[0].asDict()}")
+        per_key = source.groupBy(*keys).count()
+        most, rows = per_key.agg(F.max("count"), F.sum("count")).first()
+        if most and most > 1:
+            raise ValueError(f"a key comes more than once: {per_key.where('count > 1').first().asDict()}")
         touched = touched or Partitions.of(source, by)
         if not fixed_partition and dataset.exists(spark):
             held, new = dataset.read(spark).select(*keys, by).alias("t"), source.select(*keys, by).alias("s")
@@ -56,4 +62,4 @@ def upsert(
             if moved:
                 raise ValueError(f"a key is in another partition: {moved[0].asDict()}")
         target = dataset.read_partitions(spark, touched)
-        dataset.overwrite_partitions(merged(target, source.select(target.columns), keys))
+        dataset.overwrite_partitions(merged(target, source.select(target.columns), keys, few=(rows or 0) <= BROADCAST_ROWS))

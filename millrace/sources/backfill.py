@@ -59,7 +59,11 @@ def ledger_bucket(path: str | Column) -> Column:
 
 def record_files(layout: Layout, rows: DataFrame, batch_id: int) -> None:
     """Enter the files of stored bronze rows into the ledger, under a batch number. Again changes nothing."""
-    files = rows.select("source_file").distinct().withColumn("bucket", ledger_bucket("source_file"))
+    readings = F.lit(None)
+    if layout.figures and "values" in rows.columns:
+        readings = F.coalesce(F.sum(F.json_array_length("values")), F.lit(0))
+    files = rows.groupBy("source_file").agg(F.count("*").alias("n"), readings.cast("bigint").alias("readings"))
+    files = files.withColumn("bucket", ledger_bucket("source_file"))
     layout.ledger.overwrite_partitions(files.withColumn(BATCH, F.lit(batch_id)), arrange=False)
 
 

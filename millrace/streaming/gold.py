@@ -47,7 +47,7 @@ def replace_windows(layout: Layout, stats: DataFrame) -> None:
     with computed_once(with_window_bucket(stats, layout)) as stats:
 
         def write(statistic: str) -> None:
-            layout.gold(statistic).overwrite_partitions(one_statistic(stats, statistic))
+            layout.gold(statistic).overwrite_partitions(one_statistic(stats, statistic, layout.numeric))
 
         # The first write fills the cache on its own: executors that start on it together would
         # compute the same partition side by side.
@@ -72,7 +72,7 @@ def upsert_windows(layout: Layout, stats: DataFrame) -> None:
             return
 
         def write(statistic: str) -> None:
-            upsert(layout.gold(statistic), one_statistic(stats, statistic), WINDOW_KEY, touched, fixed_partition=True)
+            upsert(layout.gold(statistic), one_statistic(stats, statistic, layout.numeric), WINDOW_KEY, touched, fixed_partition=True)
 
         side_by_side(stats.sparkSession, [partial(write, s) for s in STATISTICS])
         if layout.figures:

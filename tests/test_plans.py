@@ -12,6 +12,7 @@ from millrace.operators.windows import one_statistic, window_statistics
 from millrace.plans.batch import gold_of, silver_of
 from millrace.plans.queries import QUERIES
 from millrace.plans.standins import EVENT_METRICS
+from millrace.sinks.upsert import merged
 from millrace.sources.tables import Dataset, Partitions
 
 
@@ -65,6 +66,13 @@ def test_one_statistic_reads_its_columns_only(spark, layout):
     assert "avg(" not in found and "stddev" not in found
 
 
+def test_few_source_rows_leave_the_target_where_it_is(spark, layout):
+    silver = layout.silver.read(spark)
+    found = plan(merged(silver, silver.where("device_id = 1"), ["device_id", "event_time"], few=True))
+    assert "BroadcastHashJoin" in found and "hashpartitioning" not in found
+    assert "hashpartitioning" in plan(merged(silver.hint("merge"), silver.where("device_id = 1"), ["device_id", "event_time"]))
+
+
 def test_windows_combine_before_the_only_shuffle(spark, layout):
     found = plan(gold_of(layout.silver.read(spark), layout))
     assert found.count("Exchange") == 1

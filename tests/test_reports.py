@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from millrace import Layout
 from millrace.operators.figures import figures, totals
-from millrace.operators.health import gold_status, layer_status
+from millrace.operators.health import gold_status, layer_status, layout_rate
 from millrace.operators.state import open_windows, state_operators, state_sizes, watermark
 from millrace.plans.batch import rebuild
 from millrace.sources.tables import Dataset
@@ -61,6 +61,9 @@ def test_status_from_figures_equals_status_from_rows(spark, tmp_path, layers):
         # Late rows: a new device and a new window in an old partition, and a device that another partition has.
         drop(landing, "b.json", (2, 90_000, 5), (1, HOUR + 5, 6))
     assert layer_status(spark, layout).where("layer = 'Silver'").first()["unique_devices"] == 4
+    rate = layout_rate(spark, layout)
+    assert rate.collect() == layout_rate(spark, plain).collect()
+    assert not any("/bronze/" in p for p in rate.inputFiles())
     rebuild(spark, layout)
     same()
 
