@@ -4,7 +4,8 @@ Every window of 1024 tokens is filled with the sources in the proportions of the
 what it is entitled to less what it has been given; it is served once that reaches a quantum, and what remains goes on
 to the next window. Partitions hold equal shares of every source, to within a range of documents; each starts at
 its token of the whole sequence, with the deficits that the partitions before it leave, both known from sums. So
-windows run across partitions without a gap and only the last one of all is short.
+windows run across partitions without a gap and only the last one of all is short. The ranges get finer as the tokens
+grow, and one that holds much of a partition, as thousands of rows of one id and text do, is split once more.
 
 Documents that come in training order keep it: a queue is sorted by file and row of the table, partitions are
 stretches of the order, and what a source is entitled to follows its tokens along the order, so that the proportions
@@ -23,11 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.mixing import source_key
-from millrace.llm.shared import bounded_batches, table, written
+from millrace.llm.shared import bounded_batches, running_total, small, table, written
 
 WINDOW = 1024
 #: Tokens from which a waiting source is served.
@@ -38,7 +39,12 @@ STORED_RANGE = 18
 #: Tokens of a partition, about.
 PARTITION = 2_000_000
 #: Rows of the table of ranges up to which it is broadcast, as its size is then known to be small.
-SMALL = 200_000
+SMALL = 500_000
+#: Ranges of a source to a partition, at least, and the bits of the keys that name a range, at least.
+FINE = 4
+BITS = 12
+#: Digits of a key that name a range where one range holds much of a partition: the hash, and four of the salt.
+SPLIT = 36
 SPACES = re.compile(r"\s\s")
 
 
@@ -70,7 +76,10 @@ class Encoder:
 
 
 def hash_order() -> Column:
-    return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    """The hash of a row's id and text, then eight random digits that part repeated rows; to be written before it is used."""
+    salt = F.lpad(F.hex((F.rand() * (1 << 32)).cast("long")), 8, "0")
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))
+    return F.concat(F.md5(key.cast("binary")), salt)
 
 
 def stored_order() -> Column:
@@ -97,35 +106,53 @@ def tokenized(docs: DataFrame, path: str, order: Column | None = None) -> DataFr
     return rows.withColumn("n", (F.octet_length("ids") / 2).cast("long"))
 
 
+def in_hash_ranges(rows: DataFrame, partition: int) -> DataFrame:
+    """rows with the range of each: some bits of its key, as many as the tokens ask for, or more of the key in heavy ranges."""
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    bits = min(32, max(BITS, (FINE * -(-total // partition) - 1).bit_length()))
+    head = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long")
+    rows = rows.withColumn("range", F.lpad(F.hex(head - head % (1 << (32 - bits))), 8, "0"))
+    heavy = rows.groupBy("source_key", "range").agg(F.sum("n").alias("n"), F.count("*").alias("many"))
+    heavy = written(heavy.where((F.col("n") * FINE > partition) & (F.col("many") > 1)).select("source_key", "range"), "heavy")
+    most = heavy.count()
+    if not most:
+        return rows
+    heavy = heavy.withColumn("heavy", F.lit(True))
+    rows = rows.join(F.broadcast(heavy) if most <= SMALL else heavy, ["source_key", "range"], "left")
+    return rows.withColumn("range", F.when(F.col("heavy"), F.substring("order_key", 1, SPLIT)).otherwise(F.col("range"))).drop("heavy")
+
+
+def part_starts(per: DataFrame) -> DataFrame:
+    """part and part_start: the tokens in earlier partitions. per: part, n."""
+    parts = per.groupBy("part").agg(F.sum("n").alias("n")).withColumn("key", F.lpad(F.hex("part"), 10, "0"))
+    return running_total(parts.withColumn("all", F.lit("")), "all", "key", [], "n", "part_start", 7).select("part", "part_start")
+
+
 def ranges(rows: DataFrame, partition: int) -> DataFrame:
-    """Per source and range of keys: its partition, and what the partition's packing starts from.
+    """Per source and range of keys: its partition, and what the partition's packing starts from. rows: source_key, range, n.
 
     part_start: tokens in earlier partitions; given: those of the source; source_total and all_total.
     """
-    per = rows.groupBy("source_key", F.substring("order_key", 1, 3).alias("range")).agg(F.sum("n").alias("n"))
-    per = written(per, "ranges")
+    per = written(rows.groupBy("source_key", "range").agg(F.sum("n").alias("n")), "ranges")
     total = per.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-total // partition))
-    own = Window.partitionBy("source_key")
-    ahead = F.coalesce(F.sum("n").over(own.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per = per.withColumn("source_total", F.sum("n").over(own)).withColumn("ahead", ahead)
+    totals = per.groupBy("source_key").agg(F.sum("n").alias("source_total"))
+    per = running_total(per, "source_key", "range", [], "n", "ahead").join(totals, "source_key")
     middle = (F.col("ahead") + F.col("n") / 2) / F.col("source_total")
-    per = per.withColumn("part", F.least(F.floor(middle * parts), F.lit(parts - 1)).cast("int"))
+    per = written(per.withColumn("part", F.least(F.floor(middle * parts), F.lit(parts - 1)).cast("int")), "dealt")
     given = per.groupBy("source_key", "part").agg(F.min("ahead").alias("given"))
-    starts = per.groupBy("part").agg(F.sum("n").alias("part_n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select("part", F.coalesce(F.sum("part_n").over(before), F.lit(0)).alias("part_start"))
-    per = per.join(given, ["source_key", "part"]).join(starts, "part")
+    per = per.join(given, ["source_key", "part"]).join(part_starts(per), "part")
     return per.select("source_key", "range", "part", "source_total", "given", "part_start", F.lit(total).cast("long").alias("all_total"))
 
 
-def stretches(rows: DataFrame, partition: int, chars: int) -> DataFrame:
+def stretches(rows: DataFrame, partition: int) -> DataFrame:
     """The same per source and range for documents in training order: partitions are neighbouring ranges of all sources."""
-    per = written(rows.groupBy("source_key", F.substring("order_key", 1, chars).alias("range")).agg(F.sum("n").alias("n")), "ranges")
+    per = written(rows.groupBy("source_key", "range").agg(F.sum("n").alias("n")), "ranges")
     total = per.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-total // partition))
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    whole = per.groupBy("range").agg(F.sum("n").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    whole = per.groupBy("range").agg(F.sum("n").alias("n")).withColumn("all", F.lit(""))
+    # The first ten digits are the file.
+    whole = running_total(whole, "all", "range", [], "n", "ahead", 10)
     whole = whole.withColumn("part", F.least(F.floor((F.col("ahead") + F.col("n") / 2) / total * parts), F.lit(parts - 1)).cast("int"))
     starts = whole.groupBy("part").agg(F.min("ahead").alias("part_start"))
     found = per.select("source_key", "range").join(whole.select("range", "part"), "range").join(starts, "part")
@@ -214,11 +241,9 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, quantum: int = QUANTU
     queues go by the hash of the id and the proportions stay the same.
     """
     rows = written(tokenized(docs, path, order), "tokens")
-    chars = 3 if order is None else chars
-    found = written(ranges(rows, partition) if order is None else stretches(rows, partition, chars), "parts")
-    small = found.count() <= SMALL
-    rows = rows.withColumn("range", F.substring("order_key", 1, chars))
-    rows = rows.join(F.broadcast(found) if small else found, ["source_key", "range"]).drop("range", "n")
+    rows = in_hash_ranges(rows, partition) if order is None else rows.withColumn("range", F.substring("order_key", 1, chars))
+    found = written(ranges(rows, partition) if order is None else stretches(rows, partition), "parts")
+    rows = rows.join(small(found, SMALL), ["source_key", "range"]).drop("range", "n")
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
         return fill_windows(rows, window, quantum)

@@ -1,0 +1,67 @@
+"""How packing deals its partitions where there are very many, and where one row is repeated very often."""
+
+import zlib
+
+from pyspark.sql import functions as F
+
+from millrace.llm import packing
+
+PARTITION = 20_000
+
+
+def dealt(spark, rows):
+    ranged = packing.in_hash_ranges(rows, PARTITION)
+    parts = packing.ranges(ranged, PARTITION)
+    found = ranged.join(parts, ["source_key", "range"]).persist()
+    assert found.count() == rows.count()
+    sums = found.groupBy("part").agg(F.sum("n").alias("n"), F.countDistinct("source_key").alias("sources"), F.first("part_start").alias("start"))
+    per = sums.orderBy("part").collect()
+    ahead = 0
+    for r in per:
+        assert r["start"] == ahead
+        ahead += r["n"]
+    given = found.groupBy("source_key", "part").agg(F.sum("n").alias("n"), F.min("given").alias("given"), F.max("given").alias("most"))
+    own = {}
+    for r in given.orderBy("source_key", "part").collect():
+        assert r["given"] == r["most"] == own.get(r["source_key"], 0)
+        own[r["source_key"]] = r["given"] + r["n"]
+    found.unpersist()
+    return per
+
+
+def sized(spark, n, key="string(id)"):
+    salt = F.lpad(F.hex((F.rand(1) * (1 << 32)).cast("long")), 8, "0")
+    source = F.concat(F.lit("s"), (F.col("id") % 4).cast("string"))
+    return spark.range(n).select(source.alias("source_key"), F.concat(F.md5(F.expr(key).cast("binary")), salt).alias("order_key"), F.lit(1000).cast("long").alias("n")).persist()
+
+
+def test_every_partition_holds_all_sources(spark):
+    """More partitions than a fixed number of ranges could tell apart."""
+    per = dealt(spark, sized(spark, 200_000))
+    assert len(per) == 10_000
+    assert all(r["sources"] == 4 and r["n"] <= 2 * PARTITION for r in per)
+
+
+def test_a_row_repeated_very_often_is_split(spark):
+    """A third of all rows have one id and text."""
+    per = dealt(spark, sized(spark, 60_000, "if(id % 3 = 0, 'one', string(id))"))
+    assert len(per) == 3_000
+    assert all(r["n"] <= 2 * PARTITION for r in per)
+
+
+def test_many_rows_without_id_are_packed_whole(spark):
+    data = [(None, "the same text again and again", "a")] * 3000 + [(i, f"text number {i}", "b") for i in range(300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    pieces = packing.pack(docs, packing.tokenizer_path(), partition=2000).collect()
+    encoder = packing.Encoder(packing.tokenizer_path())
+    expected = sum(len(encoder.encode(t)) // 2 + 1 for _, t, _ in data)
+    assert sum(p["length"] for p in pieces) == expected
+    spans = sorted((p["sequence_id"] * packing.WINDOW + p["offset"], p["length"]) for p in pieces)
+    end = 0
+    for start, length in spans:
+        assert start == end
+        end += length
+    whole = [p for p in pieces if p["doc_id"] is None and p["length"] == p["doc_tokens"]]
+    ids = encoder.encode(data[0][1]) + b"\0\0"
+    crc = zlib.crc32(b"".join(ids[i : i + 2] + b"\0\0" for i in range(0, len(ids), 2)))
+    assert whole and all(p["ids_crc32"] == crc for p in whole)
