@@ -13,13 +13,16 @@ from millrace.sources.tables import Dataset, Partitions
 BROADCAST_ROWS = 500_000
 
 
-def merged(target: DataFrame, source: DataFrame, keys: list[str], few: bool = False) -> DataFrame:
+def merged(
+    target: DataFrame, source: DataFrame, keys: list[str], few: bool = False, matched: DataFrame | None = None
+) -> DataFrame:
     """Source rows, and the target rows whose key the source does not have.
 
     A matched row is replaced whole. Keys are compared null-safely: a null key matches a null key.
-    ``source`` must have one row per key. If it has ``few`` rows, the target stays where it is.
+    ``source`` must have one row per key. If it has ``few`` rows, the target stays where it is. ``matched`` are the rows
+    of it that the target can have keys of; else all are.
     """
-    s = source.select(*keys)
+    s = (source if matched is None else matched).select(*keys)
     t, s = target.alias("t"), (F.broadcast(s) if few else s).alias("s")
     same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     kept = t.join(s, on=_all(same), how="left_anti")
@@ -50,10 +53,7 @@ def upsert(
     spark = source.sparkSession
     by = dataset.partition_by[0]
     with computed_once(source) as source:
-        per_key = source.groupBy(*keys).count()
-        most, rows = per_key.agg(F.max("count"), F.sum("count")).first()
-        if most and most > 1:
-            raise ValueError(f"a key comes more than once: {per_key.where('count > 1').first().asDict()}")
+        rows = checked_rows(source, keys)
         touched = touched or Partitions.of(source, by)
         if not fixed_partition and dataset.exists(spark):
             held, new = dataset.read(spark).select(*keys, by).alias("t"), source.select(*keys, by).alias("s")
@@ -61,5 +61,24 @@ def upsert(
             moved = held.join(new, _all(same) & ~F.col(f"t.{by}").eqNullSafe(F.col(f"s.{by}")), "left_semi").limit(1).collect()
             if moved:
                 raise ValueError(f"a key is in another partition: {moved[0].asDict()}")
-        target = dataset.read_partitions(spark, touched)
-        dataset.overwrite_partitions(merged(target, source.select(target.columns), keys, few=(rows or 0) <= BROADCAST_ROWS))
+        write_merged(dataset, source, keys, touched, rows)
+
+
+def checked_rows(source: DataFrame, keys: list[str]) -> int:
+    """How many rows there are. A key that comes twice is an error."""
+    per_key = source.groupBy(*keys).count()
+    most, rows = per_key.agg(F.max("count"), F.sum("count")).first()
+    if most and most > 1:
+        raise ValueError(f"a key comes more than once: {per_key.where('count > 1').first().asDict()}")
+    return rows or 0
+
+
+def write_merged(dataset: Dataset, source: DataFrame, keys: list[str], touched: Partitions, rows: int) -> None:
+    """The write of ``upsert``, for a source that is kept and checked, and whose keys are in no other partition.
+
+    Only source rows of partitions that the dataset has already are matched.
+    """
+    target = dataset.read_partitions(source.sparkSession, touched)
+    source = source.select(target.columns)
+    known = source.where(F.col(dataset.partition_by[0]).isin(dataset.held_values(source.sparkSession, touched)))
+    dataset.overwrite_partitions(merged(target, source, keys, few=rows <= BROADCAST_ROWS, matched=known))
