@@ -93,5 +93,4 @@ def millis_of_ntz(column: str) -> Column:
 
 def ntz(timestamp: Column) -> Column:
     """A timestamp as UTC wall-clock time without zone."""
-    seconds = F.unix_micros(timestamp).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
-    return F.expr(EPOCH_NTZ) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.expr(EPOCH_NTZ) + F.unix_micros(timestamp) * F.expr("interval '0.000001' second")

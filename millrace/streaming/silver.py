@@ -41,20 +41,34 @@ def store_batch(
     3. With ``announce`` the touched buckets are told to the gold stream, last, when silver is complete.
     """
     spark = readings.sparkSession
-    numbered = readings.withColumn("bid", F.lit(batch_id).cast("bigint"))
+    touched = stored_readings(layout, readings.withColumn("bid", F.lit(batch_id).cast("bigint")), batch_id)
+    if touched.values == []:
+        return touched
+    stored = layout.readings.read_partitions(spark, touched)
+    layout.silver.overwrite_partitions(records_of(stored, layout))
+    if layout.figures:
+        rebuilt = layout.silver.read_partitions(spark, touched)
+        layout.silver_figures.overwrite_partitions(silver_figures(rebuilt))
+    if announce:
+        layout.changes.append(touched.frame.withColumn("bid", F.lit(batch_id)).coalesce(1))
+    return touched
+
+
+def stored_readings(layout: Layout, numbered: DataFrame, batch_id: int) -> Partitions:
+    """Write the readings of a batch and tell where they went.
+
+    The folders of a batch are named by its buckets, so that the readings need not be kept to ask for these. One that an
+    earlier try of the batch left counts too, and is rebuilt as it is. A catalog table does not show them.
+    """
+    if layout.readings.is_path:
+        layout.readings.overwrite_partitions(numbered)
+        return Partitions.of_batch(numbered.sparkSession, layout.readings, batch_id)
     with computed_once(numbered) as batch:
         touched = Partitions.of(batch, "event_bucket")
-        if touched.values == []:
-            return touched
-        layout.readings.overwrite_partitions(batch)
-        stored = layout.readings.read_partitions(spark, touched)
-        layout.silver.overwrite_partitions(records_of(stored, layout))
-        if layout.figures:
-            rebuilt = layout.silver.read_partitions(spark, touched)
-            layout.silver_figures.overwrite_partitions(silver_figures(rebuilt))
-        if announce:
-            layout.changes.append(touched.frame.withColumn("bid", F.lit(batch_id)).coalesce(1))
-        return touched
+        if touched.values:
+            layout.readings.overwrite_partitions(batch)
+        # What is asked of the values later does not need the batch.
+        return Partitions.named(batch.sparkSession, "event_bucket", touched.values)
 
 
 def start_silver(
